@@ -66,6 +66,21 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def with_facts(docs: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """Join ``facts`` (doc_id, th, ...) to whole rows by id and text hash (nulls equal).
+
+    The rows are in the struct column ``row``, so their names clash with
+    nothing; the facts' other columns stand beside it, after own_id and own_th.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("own_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_th"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_th") == F.col("th"))
+    return rows.join(facts, same, how).drop("doc_id", "th")
+
+
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str, rows: int = 512) -> DataFrame:
     """mapInArrow over slices of at most ``rows`` rows, so that what a task holds at once stays small.
 

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from . import common, toxicity
 
-SIZES = (5,)
-BITS = 17
+SIZES = (5, 7)
+BITS = 18
 MAX_PER_DOMAIN = 2_000
 DOMAINS = ("clean", "low", "toxic")
 
@@ -101,14 +101,13 @@ def fit_rates(table: DataFrame, targets: list[float], max_steps: int = 40, toler
     if not tokens:
         return np.zeros((0, n))
     inverse = np.linalg.pinv(gram[1:].reshape(n, n) / tokens, rcond=1e-9)
-    last = np.inf
+    last = np.full(n, np.inf)
     while len(steps) < max_steps:
         so_far = np.array(steps).reshape(-1, n)
         e = total(lambda t, p: (rates(p, so_far) * t) @ p, n) / tokens - goal
-        size = float(np.abs(e).max())
-        if size < tolerance or abs(last - size) < tolerance:
+        if np.abs(e).max() < tolerance or np.abs(e - last).max() < tolerance:
             break
-        last = size
+        last = e
         steps.append(inverse @ e)
     return np.array(steps).reshape(-1, n)
 
@@ -141,7 +140,6 @@ def rate_documents(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame,
 
 def mix(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
     """The rows of ``docs`` (all columns), each as many times as its ``copies``; rows with none go."""
-    rated = rate_documents(docs, labelled_docs, labels, targets).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "copies").distinct()
-    own = docs.select(*[docs[c] for c in docs.columns], docs["doc_id"].cast("long").alias("_id0"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_h0"))
-    joined = own.join(rated, F.col("_id0").eqNullSafe(F.col("_id")) & (F.col("_h0") == F.col("_h"))).where("copies > 0")
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    copies = rate_documents(docs, labelled_docs, labels, targets).select("doc_id", F.col("h").alias("th"), "copies").distinct()
+    joined = common.with_facts(docs, copies).where("copies > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -24,7 +24,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text that is left, and what went, of every document."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.dedup(docs).select("doc_id", "text", F.col("_n_units").cast("long").alias("n_units"), F.col("_n_removed").cast("long").alias("n_removed"))
+    return spans.dedup(docs).select("row.doc_id", "row.text", "n_units", "n_removed")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -353,7 +353,5 @@ def keep_one(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RADIUS)
     Rows alike in id and text count as one. Rows without ids stay only if no
     row of the group has an id, one for each text.
     """
-    kept = copy_classes(docs, n_words, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    own = docs.select(*[docs[c] for c in docs.columns], docs["doc_id"].cast("long").alias("_own"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_oth"))
-    joined = own.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_oth") == F.col("_th")))
-    return joined.dropDuplicates(["_own", "_oth"]).select(*docs.columns)
+    kept = copy_classes(docs, n_words, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "th").distinct()
+    return common.with_facts(docs, kept).dropDuplicates(["own_id", "own_th"]).select("row.*")

@@ -118,41 +118,36 @@ def later_spans(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with the repeated units taken out of ``text``.
+    """Every row of ``docs`` as a struct (row) with the repeated units taken out of its text, n_units and n_removed.
 
-    Adds _n_units and _n_removed. Null texts stay null; rows alike in id and text
-    count as one document; texts without a span stay as they are. Rows keep
-    their other columns.
+    Null texts stay null; rows alike in id and text count as one document;
+    texts without a span stay as they are; other columns are kept.
     """
-    keyed = docs.select(*[docs[c] for c in docs.columns], F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_th"))
     src = common.id_and_text(docs).withColumn("th", F.xxhash64("text"))
-    later = later_spans(src).select(F.col("doc_id").alias("_id"), F.col("th").alias("_lth"), F.col("starts").alias("_starts"))
-    joined = keyed.join(later, keyed["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_lth")), "left").drop("_id", "_lth", "_th")
+    joined = common.with_facts(docs, later_spans(src), "left").select("row", "starts")
     at = docs.columns.index("text")
-    text_type = joined.schema["text"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+                row, starts = batch.column(0).slice(i, 256), batch.column(1).slice(i, 256)
+                fields = row.flatten()
                 texts, n, removed = [], [], []
-                nulls = part.column(at).is_null().to_pylist()
-                raw = common.utf8(pa.RecordBatch.from_arrays([part.column(at)], names=["text"]))
-                for t, null, starts in zip(raw, nulls, part.column(part.num_columns - 1).to_pylist(), strict=True):
-                    parts, gone = _removed(t, starts or [])
+                raw = common.utf8(pa.RecordBatch.from_arrays([fields[at]], names=["text"]))
+                for t, null, later in zip(raw, fields[at].is_null().to_pylist(), starts.to_pylist(), strict=True):
+                    parts, gone = _removed(t, later or [])
                     kept = b"".join(u for u, g in zip(parts, gone, strict=True) if not g) if any(gone) else t
                     texts.append(None if null else kept.decode())
                     n.append(len(parts))
                     removed.append(sum(gone))
-                cols = [pa.array(texts, pa.string()) if k == at else part.column(k) for k in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int32()), pa.array(removed, pa.int32())], names=[*part.schema.names[:-1], "_n_units", "_n_removed"])
+                fields[at] = pa.array(texts, fields[at].type)
+                out = pa.StructArray.from_arrays(fields, fields=list(row.type))
+                yield pa.RecordBatch.from_arrays([out, pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names=["row", "n_units", "n_removed"])
 
-    assert text_type == "string"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
-    return joined.mapInArrow(run, schema + ", _n_units int, _n_removed int")
+    return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, n_units long, n_removed long")
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """``dedup`` as a filter: the columns of ``docs``, with n_chars (if there) made right; rows of which nothing is left go."""
-    out = dedup(docs).where("_n_removed = 0 or _n_removed < _n_units").drop("_n_units", "_n_removed")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    left = dedup(docs).where("n_removed = 0 or n_removed < n_units").select("row.*")
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else left

@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A feature is the presence of a hashed byte n-gram (lower-cased, white space
-collapsed). Each feature is scaled by the log ratio of its smoothed document
+A feature is the presence of a hashed byte n-gram of a word with a blank at
+either end (A-Z lower-cased). Each feature is scaled by the log ratio of its smoothed document
 frequencies in the two classes, and a ridge logistic regression is fitted on
 the scaled features (L-BFGS on the driver, over a bounded labelled sample). The
 product of ratio and weight is one table, so scoring a text is a sum over its
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from . import common
 from .quality import fold, labelled
 
-BITS = 18
-SIZES = (4, 5)
-MAX_PER_CLASS = 2_500
-_MULT = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)  # odd 32-bit multipliers
+BITS = 20
+SIZES = (4, 5, 6, 7)
+MAX_PER_CLASS = 4_000
+_MULT = [0x9E3779B1 * pow(0x85EBCA77, k, 1 << 32) % (1 << 32) for k in range(16)]  # odd 32-bit multipliers
 _BLOCK = 1 << 20
 
 
@@ -43,13 +43,15 @@ class Grams:
         for at in range(0, max(1, len(clean) - 2), _BLOCK):
             b = np.frombuffer(clean, np.uint8)[at : at + _BLOCK + max(self.sizes) - 1].astype(np.uint32)
             h = b * np.uint32(_MULT[0])
+            blanks = np.cumsum(b == 32)
             for n in range(2, max(self.sizes) + 1):
                 if len(b) < n:
                     break
                 h = h[: len(b) - n + 1] + b[n - 1 :] * np.uint32(_MULT[n - 1])
                 if n in self.sizes:
                     mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D + 2 * n)
-                    parts.append(self.distinct(mixed >> np.uint32(32 - self.bits)))
+                    inner = blanks[n - 2 : len(b) - 1] == blanks[: len(b) - n + 1]  # no blank but at its ends
+                    parts.append(self.distinct(mixed[inner] >> np.uint32(32 - self.bits)))
         return self.distinct(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
 
 
@@ -84,7 +86,7 @@ def _minimize(f, w: np.ndarray, steps: int = 60, memory: int = 8) -> np.ndarray:
     return w
 
 
-def fit(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, bits: int = BITS, ridge: float = 1.0, least_docs: int = 3) -> tuple[np.ndarray, float]:
+def fit(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, bits: int = BITS, ridge: float = 0.5, least_docs: int = 3, least_ratio: float = 1.0) -> tuple[np.ndarray, float]:
     """(weights by hashed n-gram, bias) from documents as runs of distinct ids.
 
     ``starts`` has the place where each document's ids begin. Without both
@@ -102,7 +104,7 @@ def fit(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray,
     neg = np.bincount(ids[y[doc] == 0], minlength=width)
     ratio = np.log((pos + 1) / (y.sum() + 2)) - np.log((neg + 1) / (n - y.sum() + 2))
     ratio[pos + neg < least_docs] = 0
-    used = np.flatnonzero(np.abs(ratio) > 0.25)  # near 0 a feature says nothing about the class
+    used = np.flatnonzero(np.abs(ratio) > least_ratio)  # nearer to 0 a feature says little about the class
     if not len(used):
         return zero
     place = np.full(width, -1, np.int64)

@@ -110,15 +110,12 @@ class Sorter:
         return out.astype(np.uint8)
 
     def _types(self) -> np.ndarray:
+        """Which suffixes are S-type: less than the one to the right; runs of a symbol share a type."""
         t, n = self.t, self.n
-        s = np.zeros(n, bool)
-        change = np.flatnonzero(t[:-1] != t[1:])
-        if len(change):
-            nxt = change[np.minimum(np.searchsorted(change, np.arange(n)), len(change) - 1)]
-            s = t[nxt] < t[np.minimum(nxt + 1, n - 1)]
-            s[change[-1] + 1 :] = False
-        s[t == 0] = True
-        return s
+        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        symbol = t[first]
+        kind = np.r_[symbol[:-1] < symbol[1:], False] | (symbol == 0)
+        return np.repeat(kind, np.diff(np.r_[first, n]))
 
     def _sorted_lms(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """LMS places in the order of their suffixes, with common prefixes."""

@@ -37,7 +37,7 @@ from .induced import Sorter
 
 LENGTH = 200
 Q = 32  # a power of two
-SHARD_BYTES = 6 << 20  # a shard's segments are sorted in groups of whole keys of about this many bytes
+SHARD_BYTES = 3 << 20  # a shard's segments are sorted in groups of whole keys of about this many bytes
 _BLOCK = 1 << 20
 
 

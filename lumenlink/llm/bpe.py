@@ -18,10 +18,12 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 1 << 15
-TOP_WORDS = 200_000
+TOP_WORDS = 100_000
+UNITS_KEPT = 200_000  # what a worker remembers
 FOLD_BYTES = 32  # longer words go to the heap
 
 
@@ -139,6 +142,20 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # ---------------------------------------------------------------- documents
 
 
+_GAP = re.compile(r"(?<=\S) (?=\S)")
+_ODD = re.compile(r"\s | \s|^ | $")
+
+
+def units(text: str) -> list[str]:
+    """The text cut before its single spaces: joined by spaces it is the text.
+
+    No match of the pattern goes over such a cut (a space between two
+    characters that are not white space starts a match), so units can be
+    tokenized apart; all but the first have their space in front.
+    """
+    return _GAP.split(text) if _ODD.search(text) else text.split(" ")
+
+
 def words_of(docs: DataFrame, pattern: str) -> DataFrame:
     """word (binary) and n: how often each match of ``pattern`` occurs in all texts, counted per batch first."""
 
@@ -146,10 +163,17 @@ def words_of(docs: DataFrame, pattern: str) -> DataFrame:
         find = regex.compile(pattern).findall
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
+                seen: Counter = Counter()
                 c: Counter = Counter()
                 for t in batch.column("text").slice(i, 2048).to_pylist():
-                    c.update(find(t or ""))
+                    first, *rest = units(t or "")
+                    c.update(find(first))
+                    seen.update(rest)
+                for u, n in seen.items():
+                    for w in find(" " + u):
+                        c[w] += n
                 yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+        common.release()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -175,43 +199,61 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     top = frequent.orderBy(F.desc("n"), "word").limit(top_words).select("word")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = encode_words(common.materialize(top, "words").repartition(n), ranks)
-    known = {bytes(r["word"]): np.array(r["ids"], "<u4").tobytes() for r in table.collect()}
-    shared = spark.sparkContext.broadcast((ranks, known))
+    got = table.toArrow().combine_chunks()
+    ids = got.column("ids").combine_chunks()
+    flat = ids.flatten().to_numpy().astype("<u4")
+    ends = np.cumsum(pa.compute.list_value_length(ids).to_numpy())
+    shared = spark.sparkContext.broadcast((ranks, got.column("word").to_pylist(), flat, ends))
 
     def run(batches):
-        from collections import OrderedDict
-
         find = regex.compile(pattern).findall
-        rank_of, known_ids = shared.value
-        pieces = {r: p for p, r in rank_of.items()}
-        local = {w.decode("utf-8", "surrogateescape"): v for w, v in known_ids.items()}
-        rare: OrderedDict[str, bytes] = OrderedDict()
-
-        def miss(w: str) -> bytes:
-            got = rare.get(w)
-            if got is None:
-                got = np.array(merge_word(w.encode(), rank_of), "<u4").tobytes()
-                if len(w) < 64:
-                    rare[w] = got
-                    if len(rare) > 50_000:
-                        rare.popitem(last=False)
+        rank_of, words, flat_ids, ends = shared.value
+        n_ids = max(rank_of.values(), default=-1) + 1
+        sizes, buffer = np.zeros(n_ids, np.int64), []
+        for piece, rank in sorted(rank_of.items(), key=lambda x: x[1]):
+            sizes[rank] = len(piece)
+            buffer.append(piece)
+        all_pieces = np.frombuffer(b"".join(buffer), np.uint8)
+        piece_at = np.cumsum(sizes) - sizes
+        known = {w: flat_ids[a:b].tobytes() for w, a, b in zip(words, np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=False)}
+        cache: dict[str, bytes] = {}
+
+        def encode_unit(u: str) -> bytes:
+            out = []
+            for w in find(u):
+                raw = w.encode()
+                out.append(known.get(raw) or np.array(merge_word(raw, rank_of), "<u4").tobytes())
+            return b"".join(out)
+
+        def spaced(u: str) -> bytes:
+            got = encode_unit(" " + u)
+            if len(u) < 64:
+                if len(cache) >= UNITS_KEPT:
+                    cache.clear()
+                cache[u] = got
             return got
 
-        get = local.get
+        def decode(ids: np.ndarray) -> bytes:
+            size = sizes[ids]
+            to = np.cumsum(size)
+            return all_pieces[np.repeat(piece_at[ids] - to + size, size) + np.arange(to[-1] if len(to) else 0)].tobytes()
+
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep_ids
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 rows = []
                 for t in part.column("text").to_pylist():
-                    packed = b"".join([get(w) or miss(w) for w in find(t or "")])
+                    first, *rest = units(t or "")
+                    packed = b"".join([encode_unit(first), *[cache.get(u) or spaced(u) for u in rest]])
                     ids = np.frombuffer(packed, "<u4")
-                    decoded = b"".join(map(pieces.__getitem__, ids.tolist()))
+                    decoded = b"".join(decode(ids[k : k + (1 << 20)]) for k in range(0, len(ids), 1 << 20))
                     row = [len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()]
                     rows.append(row + ([ids.astype(np.int32), decoded] if keep_ids else []))
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=False))], names=names)
+        common.release()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if keep_ids else "")
     return src.mapInArrow(run, schema)

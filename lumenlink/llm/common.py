@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import sys
 import tempfile
@@ -98,10 +99,20 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str, r
                     v = got[n]
                     cols.append(v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=types.get(n) or arrow_type(schema, n)))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker keeps its peak between tasks otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        return
+
+
 _ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
     "binary": pa.binary(), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),

@@ -180,6 +180,7 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
                 kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["a", "s", "key", "lo", "hi", "twice", "piece"])
+        common.release()
 
     pieces = frames.join(wanted, "key").select("key", "z", "segs").mapInArrow(cut, "a long, s binary, key long, lo long, hi long, twice boolean, piece binary")
     pieces = common.materialize(pieces, "pieces")
@@ -222,6 +223,7 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
         close()
         if shard:
             yield out(shard)
+        common.release()
 
     sorted_out = kinds.select("a", "key", "lo", "many", "twice", "piece").repartition(n, "a").sortWithinPartitions("a").mapInArrow(sort, "key long, s long, e long")
     same = pieces.select("a", "s", "key", "lo", "hi").join(kinds.where("many").select("a", "s"), ["a", "s"])

@@ -18,7 +18,6 @@ import base64
 import hashlib
 import heapq
 import json
-import re
 from collections import Counter
 
 import numpy as np
@@ -31,8 +30,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS = 1 << 15
-TOP_WORDS = 100_000
-UNITS_KEPT = 200_000  # what a worker remembers
+TOP_WORDS = 200_000
+WORDS_HELD = 300_000  # that a worker counts or remembers at once
 FOLD_BYTES = 32  # longer words go to the heap
 
 
@@ -113,11 +112,28 @@ class RankMap:
 # ---------------------------------------------------------------- in place
 
 
+def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same for short words: a list of the pairs' ranks, of which the two beside each merge change."""
+    none, get = 1 << 60, ranks.get
+    cuts = list(range(len(word) + 1))
+    pairs = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while pairs and (best := min(pairs)) < none:
+        i = pairs.index(best)
+        del cuts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(word[cuts[i] : cuts[i + 2]], none)
+        if i:
+            pairs[i - 1] = get(word[cuts[i - 1] : cuts[i + 1]], none)
+    return [ranks[word[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one word: merges in the order of rank, then place, kept in a heap; O(n log n)."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n < 64:
+        return _merge_short(word, ranks)
     end = list(range(1, n + 1))  # a piece that starts at i ends at end[i]
     before = list(range(-1, n))
     alive = bytearray(b"\x01") * n
@@ -142,37 +158,26 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # ---------------------------------------------------------------- documents
 
 
-_GAP = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s | \s|^ | $")
-
-
-def units(text: str) -> list[str]:
-    """The text cut before its single spaces: joined by spaces it is the text.
-
-    No match of the pattern goes over such a cut (a space between two
-    characters that are not white space starts a match), so units can be
-    tokenized apart; all but the first have their space in front.
-    """
-    return _GAP.split(text) if _ODD.search(text) else text.split(" ")
-
-
 def words_of(docs: DataFrame, pattern: str) -> DataFrame:
     """word (binary) and n: how often each match of ``pattern`` occurs in all texts, counted per batch first."""
 
     def run(batches):
         find = regex.compile(pattern).findall
+        c: Counter = Counter()
+
+        def out():
+            got = pa.RecordBatch.from_arrays([pa.array([w.encode() for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+            c.clear()
+            return got
+
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                seen: Counter = Counter()
-                c: Counter = Counter()
-                for t in batch.column("text").slice(i, 2048).to_pylist():
-                    first, *rest = units(t or "")
-                    c.update(find(first))
-                    seen.update(rest)
-                for u, n in seen.items():
-                    for w in find(" " + u):
-                        c[w] += n
-                yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+            for i in range(0, batch.num_rows, 512):
+                for t in batch.column("text").slice(i, 512).to_pylist():
+                    c.update(find(t or ""))
+                if len(c) >= WORDS_HELD:
+                    yield out()
+        if c:
+            yield out()
         common.release()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -215,24 +220,20 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             buffer.append(piece)
         all_pieces = np.frombuffer(b"".join(buffer), np.uint8)
         piece_at = np.cumsum(sizes) - sizes
-        known = {w: flat_ids[a:b].tobytes() for w, a, b in zip(words, np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=False)}
-        cache: dict[str, bytes] = {}
-
-        def encode_unit(u: str) -> bytes:
-            out = []
-            for w in find(u):
-                raw = w.encode()
-                out.append(known.get(raw) or np.array(merge_word(raw, rank_of), "<u4").tobytes())
-            return b"".join(out)
-
-        def spaced(u: str) -> bytes:
-            got = encode_unit(" " + u)
-            if len(u) < 64:
-                if len(cache) >= UNITS_KEPT:
-                    cache.clear()
-                cache[u] = got
+        known = {w.decode(): flat_ids[a:b].tobytes() for w, a, b in zip(words, np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=False)}
+        del words, flat_ids
+        rare: dict[str, bytes] = {}
+
+        def miss(w: str) -> bytes:
+            got = np.array(merge_word(w.encode(), rank_of), "<u4").tobytes()
+            if len(w) < 64:
+                if len(rare) >= WORDS_HELD:
+                    rare.clear()
+                rare[w] = got
             return got
 
+        get, again = known.get, rare.get
+
         def decode(ids: np.ndarray) -> bytes:
             size = sizes[ids]
             to = np.cumsum(size)
@@ -245,8 +246,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 part = batch.slice(i, 512)
                 rows = []
                 for t in part.column("text").to_pylist():
-                    first, *rest = units(t or "")
-                    packed = b"".join([encode_unit(first), *[cache.get(u) or spaced(u) for u in rest]])
+                    packed = b"".join([get(w) or again(w) or miss(w) for w in find(t or "")])
                     ids = np.frombuffer(packed, "<u4")
                     decoded = b"".join(decode(ids[k : k + (1 << 20)]) for k in range(0, len(ids), 1 << 20))
                     row = [len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()]

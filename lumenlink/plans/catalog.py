@@ -1,4 +1,496 @@
-"""The engine's queries over the driver's tables, and the same in SQL."""
+"""The engine's queries over the driver's tables, and the same in SQL.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+Linkage inputs are whole tables: ``parts`` links parts to parts by name within
+a brand; ``accounts`` links customers to suppliers by name within a nation;
+``texts`` links benchmark items to documents and conversation turns by their
+whole texts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumenlink.functions import similarity, text
+from lumenlink.operators import blocking, evaluate, features, model, predict
+from lumenlink.plans import lifecycles
+from lumenlink.schema import BlockingOptions, TfidfOptions
+from lumenlink.sources import tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+K = 30
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---------------------------------------------------------------- inputs
+
+
+def parts(spark, sf_dir):
+    """Parts as source rows: name p_name, address p_type, country p_brand."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.concat(F.lit("P-"), "p_partkey").alias("entity_id"), F.col("p_name").alias("business_name"), F.col("p_type").alias("business_address"), F.col("p_brand").alias("country"))
+
+
+def accounts(spark, sf_dir):
+    """(customers, suppliers) as source rows: the country is the nation's name, the address is the number."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    s = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    return (
+        c.select(F.concat(F.lit("C-"), "c_custkey").alias("entity_id"), F.col("c_name").alias("business_name"), F.col("c_mktsegment").alias("business_address"), F.col("n_name").alias("country")),
+        s.select(F.concat(F.lit("S-"), "s_suppkey").alias("entity_id"), F.col("s_name").alias("business_name"), F.lit("").alias("business_address"), F.col("n_name").alias("country")),
+    )
+
+
+def documents(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.concat(F.lit("D-"), "doc_id").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.col("lang").alias("country"))
+
+
+def texts(spark, sf_dir):
+    """(benchmark items, [documents, conversation turns]) as source rows without a country."""
+    b = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("B-"), "item_id").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.lit("").alias("country"))
+    d = documents(spark, sf_dir).withColumn("country", F.lit(""))
+    v = table(spark, sf_dir, "conversations").select(F.concat(F.lit("V-"), "conv_id", F.lit("."), "turn").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.lit("").alias("country"))
+    return b, [d, v]
+
+
+# ---------------------------------------------------------------- SQL pieces
+
+WS = text.WS
+_STRIP = f"'^[{WS}]+|[{WS}]+$'"
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, {_STRIP}, '', 'g')"
+
+
+def sql_squeeze(x: str) -> str:
+    return sql_strip(f"regexp_replace({x}, '[{WS}]{{2,}}', ' ', 'g')")
+
+
+def sql_alnum(x: str) -> str:
+    return f"regexp_replace({x}, '[^a-z0-9{WS}]', ' ', 'g')"
+
+
+def sql_token(x: str) -> str:
+    return sql_squeeze(sql_alnum(f"lower(coalesce({x}, ''))"))
+
+
+def sql_tfidf(x: str) -> str:
+    y = sql_alnum(f"lower(coalesce({x}, ''))")
+    for k, v in text.LEGAL_WORDS.items():
+        if k != v:
+            y = f"regexp_replace({y}, '\\b{k}\\b', '{v}', 'g')"
+    return sql_squeeze(y)
+
+
+def sql_words(x: str, least: int = 3) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array({x}, '[{WS}]+'), lambda w: length(w) >= {least}))"
+
+
+def sql_country(x: str) -> str:
+    return f"lower({sql_strip(f'coalesce({x}, {chr(39)}{chr(39)})')})"
+
+
+def sql_raw(x: str) -> str:
+    return sql_strip(f"lower(coalesce({x}, ''))")
+
+
+SQL_PARTS = f"""parts as (
+  select 'P-' || p_partkey as id, {sql_token("p_name")} as name, {sql_country("p_brand")} as country, p_name, p_type, p_brand from part)"""
+SQL_TEXTS = f"""q as (select 'B-' || item_id as id, {sql_token("text")} as name, '' as country, text as body0 from benchmark),
+t as (
+  select 0 as src, 'D-' || doc_id as id, {sql_token("text")} as name, '' as country, text as body0 from documents
+  union all
+  select 1, 'V-' || conv_id || '.' || turn, {sql_token("text")}, '', text from conversations)"""
+
+
+def sql_scores(max_df: int, least: int = 3) -> str:
+    """CTEs from q (id, name, country) and t (src, id, name, country) to scored (query_id, src, target_id, score)."""
+    return f"""
+qw as (select id, country, unnest({sql_words("name", least)}) as token from q),
+tw as (select src, id, country, unnest({sql_words("name", least)}) as token from t),
+rare as (select token, country from tw group by 1, 2 having count(*) < {max_df}),
+hits as (
+  select qw.id as query_id, tw.src, tw.id as target_id, 1 as points
+  from qw join rare using (token, country) join tw using (token, country)
+  union all
+  select q.id, t.src, t.id, 1000 from q join t using (name, country) where q.name <> ''),
+scored as (select query_id, src, target_id, cast(sum(points) as bigint) as score from hits group by 1, 2, 3),
+ranked as (select *, row_number() over (partition by query_id order by score desc, src, target_id) as rank from scored)"""
+
+
+PARTS_Q_T = SQL_PARTS + ", q as (select id, name, country from parts), t as (select 0 as src, id, name, country from parts)"
+OPTIONS = BlockingOptions(k=K)
+
+
+def part_records(spark, sf_dir):
+    r = lifecycles.token_records(parts(spark, sf_dir))
+    return r, r.withColumn("src", F.lit(0))
+
+
+def part_candidates(spark, sf_dir):
+    q, t = part_records(spark, sf_dir)
+    return blocking.block_tokens(q, t, OPTIONS)
+
+
+def text_records(spark, sf_dir):
+    b, sources = texts(spark, sf_dir)
+    return lifecycles.token_records(b), lifecycles.token_records(tables.union_targets(*sources))
+
+
+TEXT_OPTIONS = BlockingOptions(k=K, max_df=200)
+
+# ---------------------------------------------------------------- normalisation
+
+
+@query(f"select doc_id, {sql_token('text')} as name from documents")
+def norm_name_token(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.name_token(F.col("text")).alias("name"))
+
+
+@query(f"select doc_id, {sql_tfidf('text')} as name from documents")
+def norm_name_tfidf(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.name_tfidf(F.col("text")).alias("name"))
+
+
+def _company(c):
+    return F.concat_ws(" ", c, F.element_at(F.array(*[F.lit(w) for w in ("Pvt. Ltd", "CORP", "(Inc)", "& Co.", "Intl Mfg Svcs")]), (F.length(c) % 5 + 1).cast("int")))
+
+
+@query(f"select p_partkey, {sql_tfidf("p_name || ' ' || (['Pvt. Ltd', 'CORP', '(Inc)', '& Co.', 'Intl Mfg Svcs'])[length(p_name) % 5 + 1]")} as name from part")
+def norm_name_legal(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.name_tfidf(_company(F.col("p_name"))).alias("name"))
+
+
+def _sql_states(x: str, states: dict[str, str]) -> str:
+    """No lookbehind in RE2: separators are doubled first, so that neighbours do not share one."""
+    for k in sorted(states, key=len, reverse=True):
+        x = f"regexp_replace({x}, '(^|[^a-z]){k.replace(' ', '  ')}([^a-z]|$)', '\\1{states[k]}\\2', 'g')"
+    return x
+
+
+_ADDRESS = "'No. ' || s_suppkey || ', P.O. Box 12-A, ' || s_name || ' Road, ' || (['Illinois','West Virginia','Tamil Nadu','New York','Indiana St, Delhi'])[cast(s_suppkey % 5 + 1 as int)]"
+
+
+@query(
+    "select s_suppkey, "
+    + sql_squeeze(sql_alnum(_sql_states(_sql_states(f"regexp_replace(regexp_replace(lower({_ADDRESS}), 'p\\.?\\s*o\\.?\\s*box\\s*[0-9a-z_\\-]*', '', 'g'), '([^a-z0-9])', '\\1\\1', 'g')", text.US_STATES), text.INDIA_STATES)))
+    + " as address from supplier"
+)
+def norm_address_states(spark, sf_dir):
+    state = F.element_at(F.array(*[F.lit(s) for s in ("Illinois", "West Virginia", "Tamil Nadu", "New York", "Indiana St, Delhi")]), (F.col("s_suppkey") % 5 + 1).cast("int"))
+    address = F.concat(F.lit("No. "), "s_suppkey", F.lit(", P.O. Box 12-A, "), "s_name", F.lit(" Road, "), state)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", text.address_tfidf(address).alias("address"))
+
+
+@query(f"select doc_id, {sql_raw('text')} as raw, {sql_country('lang')} as country from documents")
+def norm_raw_country(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.raw(F.col("text")).alias("raw"), text.country(F.col("lang")).alias("country"))
+
+
+@query(f"select 'P-' || p_partkey as entity_id, {sql_token('p_name')} as norm_name, {sql_token('p_type')} as norm_address, {sql_token('p_name')} || ' ' || {sql_token('p_type')} as combined, {sql_country('p_brand')} as country from part")
+def normalize_record(spark, sf_dir):
+    """The rich profile of part names, which have no suffixes and are ASCII: there it is the plain one."""
+    return lifecycles.rich_records(parts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources and lists
+
+
+@query("select 0 as src, 'C-' || c_custkey as entity_id, c_name as business_name from customer union all select 1, 'S-' || s_suppkey, s_name from supplier")
+def target_union(spark, sf_dir):
+    return tables.union_targets(*accounts(spark, sf_dir)).select("src", "entity_id", "business_name")
+
+
+@query("""with u as (select 0 as src, o_custkey as k, o_orderkey as v from orders union all select 1, c_custkey, c_nationkey from customer)
+select 'K-' || k as entity_id, cast(v as bigint) as v, src from (select *, row_number() over (partition by k order by src desc, v desc) as r from u) where r = 1""")
+def last_wins(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.lit(0).alias("src"), F.col("o_custkey").alias("k"), F.col("o_orderkey").cast("long").alias("v"))
+    c = table(spark, sf_dir, "customer").select(F.lit(1).alias("src"), F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("long").alias("v"))
+    u = o.unionByName(c).select("src", F.concat(F.lit("K-"), "k").alias("entity_id"), "v")
+    return tables.last_wins(u, "entity_id", "src", "v").select("entity_id", "v", "src")
+
+
+@query("select conv_id, unnest(list_filter(list_transform(string_split(text, ','), lambda x: " + sql_strip("x") + "), lambda x: x <> '')) as item from conversations")
+def list_codec(spark, sf_dir):
+    v = table(spark, sf_dir, "conversations")
+    return v.select("conv_id", F.explode(text.split_ids(F.col("text"))).alias("item"))
+
+
+# ---------------------------------------------------------------- blocking
+
+
+@query(f"with {SQL_TEXTS} select src, id as target_id, country, unnest({sql_words('name')}) as token from t")
+def token_postings(spark, sf_dir):
+    _, t = text_records(spark, sf_dir)
+    return blocking.postings(t)
+
+
+@query(f"with {SQL_TEXTS}, tw as (select country, unnest({sql_words('name')}) as token from t) select token, country, count(*) as df from tw group by 1, 2 having count(*) < 200")
+def rare_tokens(spark, sf_dir):
+    _, t = text_records(spark, sf_dir)
+    return blocking.rare_tokens(t, TEXT_OPTIONS)
+
+
+@query(f"with d as (select 'D-' || doc_id as id, {sql_token('text')} as name, {sql_country('lang')} as country from documents) select a.id as query_id, 0 as src, b.id as target_id from d a join d b using (name, country) where a.name <> ''")
+def exact_name_pairs(spark, sf_dir):
+    d = lifecycles.token_records(documents(spark, sf_dir))
+    return blocking.exact_pairs(d, d.withColumn("src", F.lit(0)))
+
+
+@query(f"with {SQL_TEXTS}, {sql_scores(200)} select query_id, src, target_id, score from scored")
+def token_overlap_scores(spark, sf_dir):
+    return blocking.token_scores(*text_records(spark, sf_dir), TEXT_OPTIONS)
+
+
+@query(f"with {SQL_TEXTS}, {sql_scores(200)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
+def block_topk_texts(spark, sf_dir):
+    return blocking.block_tokens(*text_records(spark, sf_dir), TEXT_OPTIONS)
+
+
+@query(f"with {PARTS_Q_T}, {sql_scores(10_000)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
+def block_topk(spark, sf_dir):
+    return part_candidates(spark, sf_dir)
+
+
+@query(f"with {PARTS_Q_T}, {sql_scores(10_000)}, l as (select query_id, string_agg(target_id, ',' order by rank) as ids from ranked where rank <= {K} group by 1) select q.id as source1_entity_id, coalesce(ids, '') as candidate_entity_ids from q left join l on q.id = query_id")
+def candidate_lists(spark, sf_dir):
+    q, _ = part_records(spark, sf_dir)
+    return blocking.candidate_lists(q, part_candidates(spark, sf_dir))
+
+
+@query(f"with {PARTS_Q_T}, {sql_scores(10_000)} select query_id as source1_entity_id, target_id as candidate_entity_id from ranked where rank <= {K}")
+def candidate_explode(spark, sf_dir):
+    return tables.explode_list(candidate_lists(spark, sf_dir), "source1_entity_id", "candidate_entity_ids", "candidate_entity_id")
+
+
+def _accounts_q_t() -> str:
+    return f"""q as (select 'C-' || c_custkey as id, {sql_token("c_name")} as name, {sql_country("n_name")} as country from customer join nation on c_nationkey = n_nationkey),
+t as (select 0 as src, 'S-' || s_suppkey as id, {sql_token("s_name")} as name, {sql_country("n_name")} as country from supplier join nation on s_nationkey = n_nationkey)"""
+
+
+@query(f"with {_accounts_q_t()}, {sql_scores(10_000)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
+def block_accounts(spark, sf_dir):
+    c, s = accounts(spark, sf_dir)
+    return blocking.block_tokens(lifecycles.token_records(c), lifecycles.token_records(s).withColumn("src", F.lit(0)), OPTIONS)
+
+
+# ---------------------------------------------------------------- TF-IDF
+
+SQL_TFIDF = f"""with {SQL_TEXTS},
+qb as (select id, {sql_tfidf("body0")} as body from q),
+tb as (select src, id, {sql_tfidf("body0")} as body from t),
+qc as (select id, term, count(*) as tf from (select id, unnest(regexp_split_to_array(body, '[^a-z0-9_]+')) as term from qb) where length(term) >= 2 group by 1, 2),
+tc as (select src, id, term, count(*) as tf from (select src, id, unnest(regexp_split_to_array(body, '[^a-z0-9_]+')) as term from tb) where length(term) >= 2 group by 1, 2, 3),
+vocab as (select term, count(*) as df, sum(tf) as total from tc group by 1 having count(*) >= 2 order by total desc, term limit 100000),
+n as (select count(*) as n from tb),
+qr as (select id, term, (1 + ln(tf)) * (ln((1.0e0 + n) / (1.0e0 + df)) + 1.0e0) as w from qc join vocab using (term), n),
+tr as (select src, id, term, (1 + ln(tf)) * (ln((1.0e0 + n) / (1.0e0 + df)) + 1.0e0) as w from tc join vocab using (term), n),
+qn as (select id, sqrt(sum(w * w)) as norm from qr group by 1),
+tn as (select src, id, sqrt(sum(w * w)) as norm from tr group by 1, 2),
+qw as (select id, term, w / norm as w from qr join qn using (id)),
+tw as (select src, id, term, w / norm as w from tr join tn using (src, id)),
+cos as (select qw.id as query_id, tw.src, tw.id as target_id, round(sum(qw.w * tw.w), 6) as score from qw join tw using (term) group by 1, 2, 3),
+best as (select *, row_number() over (partition by query_id order by score desc, src, target_id) as rank from cos)"""
+
+
+def tfidf_records(spark, sf_dir):
+    b, sources = texts(spark, sf_dir)
+    return lifecycles.tfidf_records(b), lifecycles.tfidf_records(tables.union_targets(*sources))
+
+
+@query(SQL_TFIDF + " select src, id as target_id, term, round(w, 6) as w from tw")
+def tfidf_weights(spark, sf_dir):
+    _, w = blocking.tfidf_weights(*tfidf_records(spark, sf_dir))
+    return w.select("src", F.col("id").alias("target_id"), "term", F.round("w", 6).alias("w"))
+
+
+@query(SQL_TFIDF + f" select query_id, src, target_id, score, rank from best where rank <= {K}")
+def tfidf_cosine_topk(spark, sf_dir):
+    return blocking.top_k(blocking.cosine_pairs(*tfidf_records(spark, sf_dir)), K)
+
+
+@query(
+    SQL_TFIDF
+    + f""", nm as (select 'B-' || item_id as id, {sql_tfidf("text")} as name from benchmark),
+tm as (select 'D-' || doc_id as id, {sql_tfidf("text")} as name from documents union all select 'V-' || conv_id || '.' || turn, {sql_tfidf("text")} from conversations)
+select distinct query_id, target_id from (
+  select query_id, target_id from best where rank <= {K} union all select nm.id, tm.id from nm join tm using (name) where name <> '')"""
+)
+def block_tfidf(spark, sf_dir):
+    return blocking.block_tfidf(*tfidf_records(spark, sf_dir), TfidfOptions(k=K))
+
+
+# ---------------------------------------------------------------- features
+
+SQL_PAIR_FEATURES = f"""pairs as (select query_id as source1_entity_id, target_id as candidate_entity_id from ranked where rank <= {K}),
+raw as (select id, {sql_raw("p_name")} as name, {sql_raw("p_type")} as addr, {sql_raw("p_brand")} as country from parts),
+feats as (
+  select source1_entity_id, candidate_entity_id,
+    cast(a.name <> '' and a.name = b.name as int) as name_exact_match,
+    cast(a.addr <> '' and a.addr = b.addr as int) as addr_exact_match,
+    cast(a.country <> '' and a.country = b.country as int) as country_match,
+    case when a.name <> '' and b.name <> '' then round(1.0e0 - levenshtein(a.name, b.name) / cast(greatest(length(a.name), length(b.name)) as double), 6) else 0.0e0 end as name_levenshtein,
+    case when a.name <> '' and b.name <> '' then round(jaro_winkler_similarity(a.name, b.name), 6) else 0.0e0 end as name_jaro_winkler,
+    case when a.addr <> '' and b.addr <> '' then round(1.0e0 - levenshtein(a.addr, b.addr) / cast(greatest(length(a.addr), length(b.addr)) as double), 6) else 0.0e0 end as addr_levenshtein,
+    cast(abs(length(a.name) - length(b.name)) as int) as name_length_diff,
+    cast(abs(length(a.addr) - length(b.addr)) as int) as addr_length_diff
+  from pairs join raw a on a.id = source1_entity_id join raw b on b.id = candidate_entity_id)"""
+SQL_FEATURES = f"with {PARTS_Q_T}, {sql_scores(10_000)}, {SQL_PAIR_FEATURES}"
+
+
+def part_features(spark, sf_dir):
+    p = parts(spark, sf_dir)
+    return lifecycles.pairs_with_features(p, p, part_candidates(spark, sf_dir))
+
+
+@query(SQL_FEATURES + " select * from feats")
+def pair_features(spark, sf_dir):
+    out = part_features(spark, sf_dir)
+    return out.withColumns({c: F.round(c, 6) for c in ("name_levenshtein", "name_jaro_winkler", "addr_levenshtein")})
+
+
+_NAME_PAIRS = "with n as (select distinct p_name as name from part) select a.name as a, b.name as b, {} as score from n a, n b"
+
+
+def _name_pairs(spark, sf_dir):
+    n = table(spark, sf_dir, "part").select("p_name").distinct()
+    return n.select(F.col("p_name").alias("a")).crossJoin(n.select(F.col("p_name").alias("b")))  # 64 names
+
+
+@query(_NAME_PAIRS.format("round(1.0e0 - levenshtein(a.name, b.name) / cast(greatest(length(a.name), length(b.name)) as double), 6)"))
+def levenshtein_sim(spark, sf_dir):
+    return _name_pairs(spark, sf_dir).withColumn("score", F.round(similarity.levenshtein(F.col("a"), F.col("b")), 6))
+
+
+@query(_NAME_PAIRS.format("round(jaro_winkler_similarity(a.name, b.name), 6)"))
+def jaro_winkler(spark, sf_dir):
+    return _name_pairs(spark, sf_dir).withColumn("score", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6))
+
+
+# ---------------------------------------------------------------- labels and evaluation
+# true pairs: parts of a brand with equal names and types
+
+SQL_TRUTH = """truth as (select a.id as source1_entity_id, b.id as entity_id from parts a join parts b on a.p_name = b.p_name and a.p_type = b.p_type and a.p_brand = b.p_brand)"""
+SQL_LABELS = f"{SQL_FEATURES}, {SQL_TRUTH}, labelled as (select feats.*, cast(entity_id is not null as int) as is_match from feats left join truth on truth.source1_entity_id = feats.source1_entity_id and entity_id = candidate_entity_id)"
+
+
+def part_truth(spark, sf_dir):
+    p = parts(spark, sf_dir).select("entity_id", *[F.col(c).alias(f"_{c}") for c in ("business_name", "business_address", "country")])
+    keys = [c for c in p.columns if c != "entity_id"]
+    return p.withColumnRenamed("entity_id", "source1_entity_id").join(p, keys).select("source1_entity_id", "entity_id")
+
+
+def part_labels(spark, sf_dir):
+    return evaluate.label_pairs(part_features(spark, sf_dir), part_truth(spark, sf_dir))
+
+
+def scored_pairs(spark, sf_dir):
+    """The labelled pairs with a plain score in place of a model's: the mean of name and address similarity, in 0.001 steps."""
+    mean = (F.col("name_levenshtein") + F.col("addr_levenshtein")) / 2
+    return part_labels(spark, sf_dir).withColumn("score", F.floor(F.round(mean * 1000, 6)) / 1000)
+
+
+SQL_SCORED = f"""{SQL_LABELS}, sc as (
+  select *, floor(round((
+    (case when a.name <> '' and b.name <> '' then 1.0e0 - levenshtein(a.name, b.name) / cast(greatest(length(a.name), length(b.name)) as double) else 0.0e0 end)
+  + (case when a.addr <> '' and b.addr <> '' then 1.0e0 - levenshtein(a.addr, b.addr) / cast(greatest(length(a.addr), length(b.addr)) as double) else 0.0e0 end)) / 2 * 1000, 6)) / 1000 as score
+  from labelled join raw a on a.id = source1_entity_id join raw b on b.id = candidate_entity_id)"""
+SQL_CURVE = f"""{SQL_SCORED}, h as (select score as threshold, count(*) as n, sum(is_match) as pos from sc group by 1),
+cum as (select threshold, sum(n) over (order by threshold desc) as m, sum(pos) over (order by threshold desc) as tp, sum(pos) over () as all_pos from h),
+pr as (select threshold, tp / cast(m as double) as p, coalesce(tp / nullif(cast(all_pos as double), 0), 0.0e0) as r from cum),
+curve as (select threshold, p as precision, r as recall, case when 0.25e0 * p + r > 0 then 1.25e0 * p * r / (0.25e0 * p + r) else 0.0e0 end as f05 from pr)"""
+
+
+@query(SQL_LABELS + " select source1_entity_id, candidate_entity_id, is_match from labelled")
+def pair_labels(spark, sf_dir):
+    return part_labels(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", "is_match")
+
+
+@query(f"{SQL_FEATURES}, {SQL_TRUTH} select count(*) as true_pairs, count(p.source1_entity_id) as recalled, round(count(p.source1_entity_id) / cast(count(*) as double), 6) as recall from truth t left join pairs p on p.source1_entity_id = t.source1_entity_id and candidate_entity_id = entity_id")
+def blocking_recall(spark, sf_dir):
+    q, _ = part_records(spark, sf_dir)
+    return evaluate.blocking_recall(part_candidates(spark, sf_dir), part_truth(spark, sf_dir), q).withColumn("recall", F.round("recall", 6))
+
+
+@query(f"{SQL_FEATURES} select (select count(*) from q) as queries, (select count(*) from pairs) as candidates, round((select count(*) from pairs) / cast((select count(*) from q) as double), 6) as per_query")
+def blocking_stats(spark, sf_dir):
+    q, _ = part_records(spark, sf_dir)
+    return evaluate.blocking_stats(q, part_candidates(spark, sf_dir)).withColumn("per_query", F.round("per_query", 6))
+
+
+@query(SQL_LABELS + " select count(*) filter (is_match = 1) as positives, count(*) filter (is_match = 0) as negatives, round(count(*) filter (is_match = 0) / cast(greatest(count(*) filter (is_match = 1), 1) as double), 6) as weight from labelled")
+def class_weights(spark, sf_dir):
+    return evaluate.class_weights(part_labels(spark, sf_dir)).withColumn("weight", F.round("weight", 6))
+
+
+def _rounded(curve):
+    return curve.select(*[F.round(c, 6).alias(c) for c in ("threshold", "precision", "recall", "f05")])
+
+
+@query(SQL_CURVE + " select round(threshold, 6) as threshold, round(precision, 6) as precision, round(recall, 6) as recall, round(f05, 6) as f05 from curve")
+def pr_curve(spark, sf_dir):
+    return _rounded(evaluate.pr_curve(scored_pairs(spark, sf_dir)))
+
+
+@query(SQL_CURVE + " select round(threshold, 6) as threshold, round(precision, 6) as precision, round(recall, 6) as recall, round(f05, 6) as f05 from curve order by round(curve.f05, 12) desc, curve.threshold limit 1")
+def best_threshold(spark, sf_dir):
+    return _rounded(evaluate.best_threshold(evaluate.pr_curve(scored_pairs(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- predictions
+
+SQL_MATCHED = SQL_SCORED + ", m as (select source1_entity_id, candidate_entity_id from sc where score >= 0.9e0 and source1_entity_id <> candidate_entity_id), l as (select source1_entity_id, string_agg(candidate_entity_id, ',' order by candidate_entity_id) as ids from m group by 1), lists as (select q.id as source1_entity_id, coalesce(ids, '') as matched_entity_ids from q left join l on q.id = source1_entity_id)"
+
+
+def part_matches(spark, sf_dir):
+    return predict.apply_threshold(scored_pairs(spark, sf_dir), 0.9).where("source1_entity_id <> candidate_entity_id")
+
+
+@query(SQL_MATCHED + " select * from lists")
+def match_results(spark, sf_dir):
+    return predict.match_lists(parts(spark, sf_dir), part_matches(spark, sf_dir))
+
+
+@query(SQL_MATCHED + " select source1_entity_id from lists where matched_entity_ids = ''")
+def singletons(spark, sf_dir):
+    return predict.singletons(parts(spark, sf_dir), part_matches(spark, sf_dir))
+
+
+@query(SQL_MATCHED + " select count(*) as queries, count(*) filter (matched_entity_ids <> '') as matched, cast((select count(*) from m) as bigint) as links, round(count(*) filter (matched_entity_ids <> '') / cast(count(*) as double), 6) as matched_share from lists")
+def match_summary(spark, sf_dir):
+    return predict.match_summary(match_results(spark, sf_dir)).withColumn("matched_share", F.round("matched_share", 6))
+
+
+@query()
+def group_split(spark, sf_dir):
+    """Which side of the grouped split each labelled pair is on (the hash is Spark's own, so there is no SQL)."""
+    train, test = model.group_split(part_labels(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", "is_match"))
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@query()
+def gbt_match(spark, sf_dir):
+    """Train on all labelled pairs, tune, and match: one list per part (20 trees here, 200 by default)."""
+    labelled = part_labels(spark, sf_dir).persist()
+    fitted = model.train(labelled, iterations=20)
+    scored = model.score(fitted.pipeline, labelled)
+    return predict.match_lists(parts(spark, sf_dir), predict.apply_threshold(scored, fitted.threshold))

@@ -40,7 +40,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lumenlink-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if not hasattr(spark, "_lumenlink_written"):  # kept with the session: this module travels to workers
         spark._lumenlink_written = []
         atexit.register(drop_materialized, spark)

@@ -20,7 +20,7 @@ from .quality import fold, labelled
 
 BITS = 20
 SIZES = (4, 5, 6, 7)
-MAX_PER_CLASS = 4_000
+MAX_PER_CLASS = 3_000
 _MULT = [0x9E3779B1 * pow(0x85EBCA77, k, 1 << 32) % (1 << 32) for k in range(16)]  # odd 32-bit multipliers
 _BLOCK = 1 << 20
 
@@ -86,31 +86,31 @@ def _minimize(f, w: np.ndarray, steps: int = 60, memory: int = 8) -> np.ndarray:
     return w
 
 
-def fit(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, bits: int = BITS, ridge: float = 0.5, least_docs: int = 3, least_ratio: float = 1.0) -> tuple[np.ndarray, float]:
-    """(weights by hashed n-gram, bias) from documents as runs of distinct ids.
+def fit(runs: list[np.ndarray], y: np.ndarray, weight: np.ndarray, bits: int = BITS, ridge: float = 0.5, least_docs: int = 3, least_ratio: float = 1.0) -> tuple[np.ndarray, float]:
+    """(weights by hashed n-gram, bias) from the distinct ids of each document.
 
-    ``starts`` has the place where each document's ids begin. Without both
-    classes the weights are zero and the bias is the smoothed log odds.
+    Without both classes the weights are zero and the bias is the smoothed log
+    odds.
     """
     n, width = len(y), 1 << bits
     total = weight.sum()
     odds = (weight @ y + 0.5) / (total - weight @ y + 0.5) if n else 1.0
     zero = np.zeros(width, np.float32), float(np.log(odds))
-    if not n or not 0 < y.sum() < n or not len(ids):
+    if not n or not 0 < y.sum() < n:
         return zero
-    sizes = np.diff(np.r_[starts, len(ids)])
-    doc = np.repeat(np.arange(n), sizes)
-    pos = np.bincount(ids[y[doc] > 0], minlength=width)
-    neg = np.bincount(ids[y[doc] == 0], minlength=width)
+    seen = np.zeros((2, width), np.int32)
+    for ids, label in zip(runs, y.astype(int), strict=True):
+        seen[label][ids] += 1  # a document's ids are distinct
+    neg, pos = seen
     ratio = np.log((pos + 1) / (y.sum() + 2)) - np.log((neg + 1) / (n - y.sum() + 2))
     ratio[pos + neg < least_docs] = 0
     used = np.flatnonzero(np.abs(ratio) > least_ratio)  # nearer to 0 a feature says little about the class
     if not len(used):
         return zero
-    place = np.full(width, -1, np.int64)
+    place = np.full(width, -1, np.int32)
     place[used] = np.arange(len(used))
-    col = place[ids]
-    doc, col = doc[col >= 0], col[col >= 0]
+    cols = [c[c >= 0] for c in (place[ids] for ids in runs)]
+    doc, col = np.repeat(np.arange(n, dtype=np.int32), list(map(len, cols))), np.concatenate(cols)
     x = ratio[used][col]
     scale = weight * n / total
 
@@ -127,8 +127,8 @@ def fit(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray,
     return out, float(w[-1])
 
 
-def sample(docs: DataFrame, truth: DataFrame, sizes: tuple[int, ...], bits: int, max_per_class: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, starts, y, weight) of at most ``max_per_class`` documents of each class, chosen by a hash of the id.
+def sample(docs: DataFrame, truth: DataFrame, sizes: tuple[int, ...], bits: int, max_per_class: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(distinct ids of each document, y, weight) of at most ``max_per_class`` documents of each class, chosen by a hash of the id.
 
     A document brings 2**bits numbers at most to the driver. The weights undo
     the sampling: they sum to the class's size.
@@ -136,7 +136,7 @@ def sample(docs: DataFrame, truth: DataFrame, sizes: tuple[int, ...], bits: int,
     counts = {r["y"]: r["n"] for r in truth.groupBy("y").agg(F.count("*").alias("n")).collect()}
     parts = [truth.where(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class) for c in sorted(counts)]
     if not parts:
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        return [], np.zeros(0), np.zeros(0)
     chosen = parts[0]
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
@@ -149,12 +149,11 @@ def sample(docs: DataFrame, truth: DataFrame, sizes: tuple[int, ...], bits: int,
     got = common.map_arrow(src, run, "doc_id long, y int, ids binary").dropDuplicates(["doc_id"]).toArrow()
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     y = got.column("y").to_numpy()[order].astype(np.float64)
-    blobs = got.column("ids").to_pylist()
-    runs = [np.frombuffer(blobs[i], "<u4") for i in order]
-    starts = np.cumsum([0, *map(len, runs)])[:-1].astype(np.int64)
+    blobs = got.column("ids")  # views into Arrow's buffers, no copies
+    runs = [np.frombuffer(blobs[int(i)].as_buffer(), "<u4") for i in order]
     in_sample = {c: max(1, int((y == c).sum())) for c in counts}
     weight = np.array([counts[int(c)] / in_sample[int(c)] for c in y])
-    return np.concatenate([np.zeros(0, np.uint32), *runs]), starts, y, weight
+    return runs, y, weight
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,8 +163,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     bias and the n-grams of blanks); without labels every score is 0.5.
     """
     truth = labelled(labels, "toxic").where(fold(F.col("doc_id"), 4) != 2)
-    ids, starts, y, weight = sample(docs, truth, SIZES, BITS, MAX_PER_CLASS)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(ids, starts, y, weight))  # 2**BITS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(fit(*sample(docs, truth, SIZES, BITS, MAX_PER_CLASS)))  # 2**BITS numbers
 
     def run(batch):
         table, bias = shared.value

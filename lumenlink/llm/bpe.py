@@ -63,15 +63,22 @@ class RankMap:
             pieces[rank] = piece.hex().upper()
         self.by_rank = F.split(F.lit(",".join(pieces)), ",")
 
-    def rank(self, piece: Column) -> Column:
+    @staticmethod
+    def rank(ranks: Column, piece: Column) -> Column:
         """The rank of a binary piece, or null."""
-        return F.get(self.by_piece, _bucket(piece))[F.hex(piece)]
+        return F.get(ranks, _bucket(piece))[F.hex(piece)]
 
     def encode_word(self, word: Column) -> Column:
         """array<int> of a binary word's ids: the whole word if it has a rank, else the fold. Empty words have none.
 
-        Quadratic in the word's bytes; use it on distinct words.
+        Quadratic in the word's bytes; use it on distinct words. The rank map
+        stands in the plan once, as the plan's description would be some 20 MB
+        otherwise.
         """
+        box = F.array(F.struct(word.alias("word"), self.by_piece.alias("ranks")))
+        return F.get(F.transform(box, lambda b: self._encode(b["word"], b["ranks"])), 0)
+
+    def _encode(self, word: Column, ranks: Column) -> Column:
         n = F.octet_length(word)
         single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
 
@@ -80,7 +87,7 @@ class RankMap:
             best = F.array_min(
                 F.transform(
                     F.sequence(F.lit(1), F.size(pieces) - 1),
-                    lambda i: F.struct(F.coalesce(self.rank(F.concat(F.get(pieces, i - 1), F.get(pieces, i))), F.lit(2**31 - 1)).alias("r"), i.alias("i")),
+                    lambda i: F.struct(F.coalesce(self.rank(ranks, F.concat(F.get(pieces, i - 1), F.get(pieces, i))), F.lit(2**31 - 1)).alias("r"), i.alias("i")),
                 )
             )
             # evaluate best once: a one-element array carries it
@@ -97,11 +104,11 @@ class RankMap:
             return F.when(F.size(pieces) < 2, pieces).otherwise(F.get(step, 0))
 
         fold = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), single, merge)
-        whole = self.rank(word)
+        whole = self.rank(ranks, word)
         return (
             F.when(n == 0, F.array().cast("array<int>"))
             .when(whole.isNotNull(), F.array(whole))
-            .otherwise(F.transform(fold, lambda p: self.rank(p)))
+            .otherwise(F.transform(fold, lambda p: self.rank(ranks, p)))
         )
 
     def decode_ids(self, ids: Column) -> Column:
@@ -209,6 +216,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     flat = ids.flatten().to_numpy().astype("<u4")
     ends = np.cumsum(pa.compute.list_value_length(ids).to_numpy())
     shared = spark.sparkContext.broadcast((ranks, got.column("word").to_pylist(), flat, ends))
+    del got, ids, flat
+    common.release()
 
     def run(batches):
         find = regex.compile(pattern).findall

@@ -45,6 +45,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         spark._lumenlink_written = []
         atexit.register(drop_materialized, spark)
     spark._lumenlink_written.append(path)
+    release()
+    spark._jvm.System.gc()  # Spark's cleaner drops the shuffles and broadcasts of plans that are gone
     return spark.read.schema(df.schema).parquet(path)
 
 

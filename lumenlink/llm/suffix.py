@@ -155,7 +155,6 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
     Copies of a text count once here.
     """
     spark = docs.sparkSession
-    free = spark._jvm.System.gc  # lets Spark drop the shuffle files of steps that are written
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = common.materialize(_anchors(docs, text_col, length), "anchors")
     where = F.struct("key", "lo")
@@ -163,7 +162,6 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
     segs = found.join(shared, "a").groupBy("key", "a", "lo").agg(F.max("hi").alias("hi"), F.max("twice").alias("twice"))
     wanted = segs.groupBy("key").agg(F.collect_list(F.struct("a", "lo", "hi", "twice")).alias("segs"))  # bounded by the text
     wanted = common.materialize(wanted, "wanted")
-    free()
     frames = _texts(docs, "doc_id" if "doc_id" in docs.columns else docs.columns[0], text_col, length, keys_only=False)
     frames = frames.groupBy("key").agg(F.first("z").alias("z"))  # copies of a text meet before the shuffle
 
@@ -184,11 +182,9 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
 
     pieces = frames.join(wanted, "key").select("key", "z", "segs").mapInArrow(cut, "a long, s binary, key long, lo long, hi long, twice boolean, piece binary")
     pieces = common.materialize(pieces, "pieces")
-    free()
     kinds = pieces.groupBy("a", "s").agg(F.min(where).alias("x"), F.max(where).alias("y"), F.max("twice").alias("twice"), F.first("piece").alias("piece"))
     kinds = kinds.select("a", "s", F.col("x.key").alias("key"), F.col("x.lo").alias("lo"), (F.col("x") != F.col("y")).alias("many"), "twice", "piece")
     kinds = common.materialize(kinds, "kinds")
-    free()
 
     def sort(batches):
         def out(rows):
@@ -251,7 +247,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     copies = rows.where(F.col("n_bytes") >= length).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("copied"))
     of_text = intervals.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))  # bounded by the text
     single = common.materialize(of_text.join(copies, "key", "left_anti"), "intervals")
-    docs.sparkSession._jvm.System.gc()
     frames = _texts(docs, id_col, text_col, length, keys_only=False)
 
     def take_out(batch):

@@ -164,6 +164,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     """
     truth = labelled(labels, "toxic").where(fold(F.col("doc_id"), 4) != 2)
     shared = docs.sparkSession.sparkContext.broadcast(fit(*sample(docs, truth, SIZES, BITS, MAX_PER_CLASS)))  # 2**BITS numbers
+    common.release()
 
     def run(batch):
         table, bias = shared.value

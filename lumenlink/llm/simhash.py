@@ -337,7 +337,8 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
 
     pairs = links_in(kept.where(F.col("n") <= hot).select("m", "k", "node", "fp"))
     large = kept.where(F.col("n") > hot)
-    finer = large.select(F.col("k").alias("m"), F.explode("least").alias("k"), "node", "fp").where("m < k")
+    # with a lesser hash the bucket of that hash, or its pairs if it is hot, too, has the rows
+    finer = large.select(F.col("k").alias("m"), F.explode(F.expr("filter(least, x -> x > k)")).alias("k"), "node", "fp")
     pairs = pairs.unionByName(links_in(finer))
     reach = graph.components(pairs)
     rooted = nodes.select("node", "fp", "least", "least_id").join(reach.withColumnRenamed("a", "node"), "node", "left").select("fp", "least", "least_id", F.coalesce("root", "node").alias("root"))

@@ -212,7 +212,7 @@ def _by_bucket(buckets: DataFrame, keys: tuple[str, str], find) -> DataFrame:
             yield out(held)
 
     n = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return buckets.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return buckets.repartition(n, *keys).sortWithinPartitions(*keys, *[c for c in names if c not in keys]).mapInArrow(run, "a long, b long")
 
 
 def _links_of(buckets: DataFrame, radius: int, pair_up_to: int) -> DataFrame:

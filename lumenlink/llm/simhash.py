@@ -138,13 +138,24 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lab
 
 
-def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int, large) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links (row, root row) of whole buckets; rows are sorted by ``key``. ``large(first, size)`` links the rows of a larger bucket."""
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints: one word each, or a row of words."""
+    bits = np.bitwise_count(x ^ y)
+    return bits if bits.ndim == 1 else bits.sum(axis=1, dtype=np.int16)
+
+
+def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int, large, table: np.ndarray | None = None, may=None) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links (row, root row) of whole buckets; rows are sorted by ``key``.
+
+    ``large(first, size)`` links the rows of a larger bucket. ``table`` is the
+    pivot distance table (fixed pivots if not given); ``may(a, b)`` marks the
+    pairs that are let through to it.
+    """
     n = len(fps)
     edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[edge, n])
     small = np.repeat(size <= pair_up_to, size)
-    table = pivot_table(fps)
+    table = pivot_table(fps) if table is None else table
     found_a, found_b = [], []
     at = np.flatnonzero(small)
     group = np.repeat(np.arange(len(size)), size)
@@ -153,8 +164,9 @@ def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int
         at = at[group[at] == group[at + step]]
         if not len(at):
             break
-        a, b = survivors(table, at, at + step, radius)
-        near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
+        a = at[may(at, at + step)] if may else at
+        a, b = survivors(table, a, a + step, radius)
+        near = _distance(fps[a], fps[b]) <= radius
         found_a.append(a[near])
         found_b.append(b[near])
     for s, m in zip(edge[size > pair_up_to], size[size > pair_up_to], strict=True):
@@ -185,12 +197,17 @@ def _lookup(fps: np.ndarray, mask: int, radius: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(a or [np.zeros(0, int)]), np.concatenate(b or [np.zeros(0, int)])
 
 
+def _array(col: pa.Array) -> np.ndarray:
+    """Longs; of wide fingerprints, a row of words each."""
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(len(col), -1) if pa.types.is_binary(col.type) else col.to_numpy()
+
+
 def _by_bucket(buckets: DataFrame, keys: tuple[str, str], find) -> DataFrame:
     """Links from all rows of each bucket: ``find(key, columns)`` gets whole buckets, sorted, and returns long arrays a and b."""
     names = buckets.columns
 
     def run(batches):
-        held = [np.zeros(0, np.int64)] * len(names)
+        held = None
 
         def out(cols):
             pair = np.stack([cols[names.index(k)] for k in keys])
@@ -200,15 +217,17 @@ def _by_bucket(buckets: DataFrame, keys: tuple[str, str], find) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            now = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)]
-            if not len(now[0]):
+            if not batch.num_rows:
                 continue
+            now = [_array(batch.column(c)) for c in names]
+            if held:
+                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             k = [now[names.index(x)] for x in keys]
             cut = int(np.argmax((k[0] == k[0][-1]) & (k[1] == k[1][-1])))  # the last bucket may go on in the next batch
             if cut:
                 yield out([x[:cut] for x in now])
             held = [x[cut:] for x in now]
-        if len(held[0]):
+        if held:
             yield out(held)
 
     n = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -275,77 +294,142 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # ---------------------------------------------------------------- near copies of texts
 
 SHINGLE = 5
-COPY_RADIUS = 14
 SKETCH = 8
+LANES = 32
+COPY_RADIUS = 310  # of 2,048 bits: so many differ on average where sets of one size are alike to 0.8
+LANE_RADIUS = 24  # of the first 64: five standard deviations more than there
+SIZE_RATIO = 0.8  # sets of which one is smaller than this part of the other are not alike to 0.8
+N_REFERENCES = 4
+_BYTES = np.uint64(0x0101010101010101)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of LANES x 64 bits over distinct hashes, each remixed for every lane."""
+    lanes = np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    count = np.zeros((8, LANES, 8), np.int64)  # shift, lane, byte
+    for i in range(0, len(hashes), 255):  # what a byte can count
+        x = hashes[i : i + 255, None] + lanes
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        for j in range(8):
+            count[j] += ((x >> np.uint64(j)) & _BYTES).sum(axis=0).view(np.uint8).reshape(LANES, 8)
+    return np.packbits(2 * count > len(hashes)).view(np.uint64)
 
 
 def sketches(docs: DataFrame, n_words: int = SHINGLE, size: int = SKETCH) -> DataFrame:
-    """doc_id, th (text hash), fp and least: the ``size`` least distinct shingle hashes, as an array, of every row."""
+    """Of every row doc_id, th (text hash), fp (wide SimHash), n (distinct shingle hashes), least (the ``size`` least of these) and node (a hash of the three)."""
 
     def run(batch):
-        fps, least = [], []
+        fps, n, least = [], [], []
         for t in common.utf8(batch):
-            fps.append(fingerprint(t, n_words))
-            known: np.ndarray = np.zeros(0, np.uint64)
-            hashes = shingle_hashes(t, n_words)
-            while len(h := np.fromiter(islice(hashes, 1 << 20), np.uint64)):
-                known = np.unique(np.concatenate([known, h]))[:size]
-            least.append(known.view(np.int64) if len(known) else np.zeros(1, np.int64))
-        return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64)), "least": pa.array(least, pa.list_(pa.int64()))}
+            known = np.unique(np.fromiter(shingle_hashes(t, n_words), np.uint64))
+            fps.append(wide_fingerprint(known).tobytes())
+            n.append(len(known))
+            least.append(known[:size].view(np.int64) if len(known) else np.zeros(1, np.int64))
+        return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "fp": fps, "n": n, "least": pa.array(least, pa.list_(pa.int64()))}
 
     src = common.id_and_text(docs).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return common.map_arrow(src, run, "doc_id long, th long, fp long, least array<long>")
-
-
-def _leaders(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a large bucket, without its pairs: rows are linked to leaders; a row near no leader leads."""
-    a, b, free = [], [], np.ones(len(fps), bool)
-    while free.any():
-        leader = int(np.argmax(free))
-        near = np.flatnonzero(np.bitwise_count(fps ^ fps[leader]) <= radius)
-        a.append(np.full(len(near), leader))
-        b.append(near)
-        free[near] = False
+    out = common.map_arrow(src, run, "doc_id long, th long, fp binary, n long, least array<long>")
+    return out.withColumn("node", F.xxhash64("fp", "n", "least"))
+
+
+def _references(key: np.ndarray, fps: np.ndarray, n: int = N_REFERENCES) -> np.ndarray:
+    """Pivot distance table whose pivots are the first rows of each row's own bucket.
+
+    At this radius random pivots tell nothing apart; a pivot from the bucket
+    tells its own near copies from all others.
+    """
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[first, len(key)])
+    return np.stack([_distance(fps, fps[np.repeat(first + np.minimum(p, size - 1), size)]) for p in range(n)])
+
+
+def _cover(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a large bucket that join all that its linked pairs join, without spelling the pairs out.
+
+    Leaders first: each row is compared with every leader, and a row near no
+    leader leads. That leaves out links between two rows which both follow
+    other rows; these matter only across components. So the followers outside
+    the component that has most of them are compared with all rows, too, after
+    the pivot table of the first leaders' distances has discarded what it can.
+    """
+    n, lane = len(fps), fps[:, 0].copy()
+    a, b, free = [], [], np.ones(n, bool)
+
+    def near(i: int, rows: np.ndarray) -> np.ndarray:
+        rows = rows[np.bitwise_count(lane[rows] ^ lane[i]) <= LANE_RADIUS]
+        rows = rows[np.minimum(sizes[rows], sizes[i]) >= SIZE_RATIO * np.maximum(sizes[rows], sizes[i])]
+        rows = rows[_distance(fps[rows], fps[i]) <= radius]
+        a.append(np.full(len(rows), i))
+        b.append(rows)
+        return rows
+
+    every, table, leads = np.arange(n), [], np.zeros(n, bool)
+    for i in range(n):
+        if free[i]:
+            free[near(i, every)] = False
+            leads[i] = True
+            if len(table) < N_PIVOTS:
+                table.append(_distance(fps, fps[i]))
+    lab = _forest(n, np.concatenate(a), np.concatenate(b))
+    follows = np.flatnonzero(~leads)
+    if len(follows):
+        names, count = np.unique(lab[follows], return_counts=True)
+        for i in follows[lab[follows] != names[np.argmax(count)]]:
+            rows = every
+            for d in table:
+                rows = rows[np.abs(d[rows] - d[i]) <= radius]
+            near(i, rows)
     return np.concatenate(a), np.concatenate(b)
 
 
 def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RADIUS, hot: int = HOT) -> DataFrame:
-    """doc_id, th and component_id of near copies: word shingles alike to about 0.8 or more.
-
-    At that likeness SimHashes of 64 bits differ in up to about 14 bits, too many
-    to cut the fingerprint into blocks. Texts whose shingle sets are alike to 0.8
-    share one of their 8 least shingle hashes but for 3 cases in a million, so
-    these are the buckets; in a bucket the pivot table discards pairs and the
-    survivors' fingerprints are compared. In buckets of over ``hot`` rows two
-    shared hashes are asked for, and if that is hot, too, rows are compared
-    with leaders instead of each other. Texts without words are alike.
+    """doc_id, th and component_id of near copies: sets of word shingles alike to 0.8 or more, as told by SimHashes of 2,048 bits.
+
+    At that likeness SimHashes of 64 bits differ in 4 to 18 bits, which neither
+    can be cut into blocks nor tells 0.8 from 0.6; 2,048 bits tell the likeness
+    to 0.02 (one standard deviation), and sets of sizes too far apart are
+    discarded for certain. Texts whose shingle sets are alike to 0.8 share one
+    of their 8 least shingle hashes but for 3 cases in a million, so these are
+    the buckets; in a bucket the pivot table discards pairs and the survivors'
+    fingerprints are compared. In buckets of over ``hot`` rows two shared
+    hashes are asked for (all but 1 in 10,000 such pairs have them). Texts
+    without words are alike.
     """
     rows = common.materialize(sketches(docs, n_words), "sketches")
-    nodes = rows.groupBy("fp", "least").agg(F.min("doc_id").alias("least_id"))
-    nodes = nodes.select("fp", "least", "least_id", F.xxhash64("fp", "least").alias("node"))
-    keyed = nodes.select("node", "fp", "least", F.explode("least").alias("k"))
-    shared = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    kept = common.materialize(keyed.join(shared, "k").select(F.lit(0).cast("long").alias("m"), "k", "node", "fp", "n", F.when(F.col("n") > hot, F.col("least")).alias("least")), "copies")
+    wanted = ["node", "fp", "n"]
+    nodes = rows.groupBy(*wanted, "least").agg(F.min("doc_id").alias("least_id"))
+    keyed = nodes.select(*wanted, "least", F.explode("least").alias("k"))
+    shared = rows.select("node", "least").distinct().select(F.explode("least").alias("k")).groupBy("k").agg(F.count("*").alias("bearers")).where("bearers > 1")
+    kept = keyed.join(shared, "k").select(F.lit(0).cast("long").alias("m"), "k", *wanted, "bearers", F.when(F.col("bearers") > hot, F.col("least")).alias("least"))
+    kept = common.materialize(kept, "copies")
 
     def links_in(buckets: DataFrame) -> DataFrame:
         def find(key, cols):
-            fps = cols["fp"].view(np.uint64)
-            at, root = _bucket_links(key, fps, radius, hot, lambda s, m: _leaders(fps[s : s + m], radius))
+            fps, sizes = cols["fp"], cols["n"]
+            lane = fps[:, 0].copy()
+
+            def may(a, b):
+                alike = np.minimum(sizes[a], sizes[b]) >= SIZE_RATIO * np.maximum(sizes[a], sizes[b])
+                return alike & (np.bitwise_count(lane[a] ^ lane[b]) <= LANE_RADIUS)
+
+            at, root = _bucket_links(key, fps, radius, hot, lambda s, m: _cover(fps[s : s + m], sizes[s : s + m], radius), _references(key, fps), may)
             return cols["node"][at], cols["node"][root]
 
         return _by_bucket(buckets, ("m", "k"), find)
 
-    pairs = links_in(kept.where(F.col("n") <= hot).select("m", "k", "node", "fp"))
-    large = kept.where(F.col("n") > hot)
+    pairs = links_in(kept.where(F.col("bearers") <= hot).select("m", "k", *wanted))
+    large = kept.where(F.col("bearers") > hot)
     # with a lesser hash the bucket of that hash, or its pairs if it is hot, too, has the rows
-    finer = large.select(F.col("k").alias("m"), F.explode(F.expr("filter(least, x -> x > k)")).alias("k"), "node", "fp")
+    finer = large.select(F.col("k").alias("m"), F.explode(F.expr("filter(least, x -> x > k)")).alias("k"), *wanted)
     pairs = pairs.unionByName(links_in(finer))
     reach = graph.components(pairs)
-    rooted = nodes.select("node", "fp", "least", "least_id").join(reach.withColumnRenamed("a", "node"), "node", "left").select("fp", "least", "least_id", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.select("node", "least_id").join(reach.withColumnRenamed("a", "node"), "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     rooted = common.materialize(rooted, "rooted")
     of_root = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_row = rooted.join(of_root, "root").select("fp", "least", "component_id")
-    return rows.join(of_row, ["fp", "least"], "left").select("doc_id", "th", "component_id")
+    of_row = rooted.join(of_root, "root").select("node", "component_id")
+    return rows.select("doc_id", "th", "node").join(of_row, "node", "left").select("doc_id", "th", "component_id")
 
 
 def keep_one(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RADIUS) -> DataFrame:

@@ -125,6 +125,55 @@ def test_keep_one(awkward):
     assert all(ids[i] == 1 for i in (7, 8, 9, 10, 13, 14))
 
 
+def test_cover_joins_what_all_pairs_join():
+    """Chains: rows near each other that follow different leaders, in any order."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(6):
+        x = rng.integers(0, 2**64, simhash.LANES, dtype=np.uint64)
+        for _ in range(25):
+            rows.append(x)
+            x = x.copy()
+            for lane in range(simhash.LANES):
+                for b in rng.integers(0, 64, int(rng.integers(1, 12))):
+                    x[lane] ^= np.uint64(1) << np.uint64(b)
+    fps = np.array(rows)[rng.permutation(len(rows))]
+    sizes = rng.integers(90, 115, len(fps))
+    want_a, want_b = [], []
+    for i in range(len(fps)):
+        for j in range(i):
+            lane = int(fps[i, 0] ^ fps[j, 0]).bit_count()
+            if sum(int(x).bit_count() for x in fps[i] ^ fps[j]) <= 240 and lane <= simhash.LANE_RADIUS and min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j]):
+                want_a.append(i)
+                want_b.append(j)
+    want = simhash._forest(len(fps), np.array(want_a), np.array(want_b))
+    assert 6 < len(set(want)) < len(fps)
+    assert (simhash._forest(len(fps), *simhash._cover(fps, sizes, 240)) == want).all()
+
+
+def test_copies_are_alike_by_brute_force(spark):
+    """Classes against exact likeness of the five-word shingle sets: links well above 0.8 hold, none well below."""
+    sf = "/root/testdata/sf0.01"
+    df = common.table(spark, sf, "documents")
+    sets = {r.doc_id: frozenset(simhash.shingle_hashes((r.text or "").encode(), 5)) for r in df.collect()}
+    out = {r.doc_id: r.component_id for r in simhash.copy_classes(df).collect()}
+    assert out.keys() == sets.keys()
+    bearers = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            bearers[x].append(i)
+    best = Counter()
+    for i, s in sets.items():
+        for j, c in Counter(j for x in s for j in bearers[x] if j != i).items():
+            like = c / (len(s) + len(sets[j]) - c)
+            if like >= 0.85:
+                assert out[i] == out[j], (i, j, like)
+            if out[i] == out[j]:
+                best[i] = max(best[i], like)
+    size = Counter(out.values())
+    assert all(best[i] >= 0.72 for i in out if size[out[i]] > 1 and sets[i])
+
+
 def test_leaders_link_a_large_group(spark):
     """A group of near copies larger than the bucket limit is one class."""
     from tests.llm.conftest import prose

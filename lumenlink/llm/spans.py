@@ -1,9 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into units (sentences with the blanks that follow; sentences of
-over LONG words are cut again after words chosen by their hash, so that cuts do
-not depend on what stands before). A span is the shortest run of units that
-starts at a given unit and has at least MIN_UNITS units and MIN_WORDS words.
+A text is cut into units: sentences with the blanks that follow, and in
+sentences of over WINDOW words also before each word that has the least hash in
+some WINDOW consecutive words of its sentence. Such a cut depends on the words
+around it alone, and no unit has more than WINDOW words. A span starts at each
+unit and is the shortest run with at least MIN_UNITS units and MIN_WORDS words:
+of whole sentences where a sentence starts (of units in sentences of over LONG
+words), of any units inside a sentence. Any 50 words with the same line breaks
+that two texts share hold a whole span of both, wherever they stand.
 Spans are hashed and joined over all documents; units covered by any span that
 is not the first of its kind, in the order of (doc_id, text hash, place), go.
 """
@@ -11,9 +15,10 @@ is not the first of its kind, in the order of (doc_id, text hash, place), go.
 from __future__ import annotations
 
 import re
-from itertools import accumulate, repeat
+from itertools import accumulate, chain, repeat
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,34 +29,39 @@ from . import common
 MIN_UNITS = 2
 MIN_WORDS = 12
 LONG = 32
+WINDOW = 9
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+(?=\s|$)|[.!?]+|\n|$)\s*")
-_WORD = re.compile(rb"\S+\s*")
+_END = re.compile(rb"[.!?\n]")
+_WORD = re.compile(rb"\s*\S+\s*")
 
 
-def _cut(unit: bytes) -> list[bytes]:
-    """A long unit in pieces of 8 to 64 words that end after words whose hash says so."""
-    out, at, n = [], 0, 0
-    for m in _WORD.finditer(unit):
-        n += 1
-        if n >= 8 and (crc32(m.group().rstrip()) % 8 == 0 or n == 64):
-            out.append(unit[at : m.end()])
-            at, n = m.end(), 0
-    if at < len(unit):
-        out.append(unit[at:])
-    return out
+def _cuts(sentences: list[list[bytes]]) -> list[list[int]]:
+    """Of each sentence the places of the words that are the least by hash (the first, if alike) in a window."""
+    size = list(map(len, sentences))
+    h = np.fromiter(map(crc32, chain.from_iterable(sentences)), np.uint32, sum(size)) * np.uint32(2654435761)
+    of = np.repeat(np.arange(len(size)), size)
+    start = np.flatnonzero(of[: 1 - WINDOW] == of[WINDOW - 1 :])  # windows do not go beyond a sentence
+    least = np.zeros(len(h), bool)
+    least[start + np.lib.stride_tricks.sliding_window_view(h, WINDOW)[start].argmin(axis=1)] = True
+    edge = np.cumsum([0, *size])
+    least[edge[:-1]] = False
+    at = np.flatnonzero(least)
+    return [(x - e).tolist() for x, e in zip(np.split(at, np.searchsorted(at, edge[1:-1])), edge, strict=False)]
 
 
 def units(text: bytes) -> list[bytes]:
     """The units of a UTF-8 text; joined they are the text."""
-    out = []
-    for u in _SENTENCE.findall(text):
-        if not u:
-            continue
-        if len(u) > 2 * LONG and u.count(b" ") + u.count(b"\t") >= LONG:
-            out += _cut(u)
-        else:
-            out.append(u)
-    return out
+    out = [u for u in _SENTENCE.findall(text) if u]
+    split = {k: w for k, u in enumerate(out) if len(u) > 2 * WINDOW and len(w := u.lower().split()) > WINDOW}
+    if not split:
+        return out
+    whole, out, at = out, [], 0
+    for (k, _), cuts in zip(split.items(), _cuts(list(split.values())), strict=True):
+        out += whole[at:k]
+        pieces = _WORD.findall(whole[k])
+        out += [b"".join(pieces[i:j]) for i, j in zip([0, *cuts], [*cuts, len(pieces)], strict=True)]
+        at = k + 1
+    return out + whole[at:]
 
 
 def spans(parts: list[bytes]) -> tuple[list[int], list[int]]:
@@ -59,14 +69,28 @@ def spans(parts: list[bytes]) -> tuple[list[int], list[int]]:
     words = [u.lower().split() for u in parts]
     digests = list(map(xxh64_digest, map(b" ".join, words)))
     upto = list(accumulate(map(len, words), initial=0))
-    hashes, ends, j = [], [], 0
-    for i in range(len(parts)):
+    n = len(parts)
+    starts, borders, s = {}, [], 0  # place among the borders of each sentence start
+    for k, u in enumerate(parts, 1):
+        if k == n or _END.search(u):
+            starts[s] = len(borders)
+            borders += range(s + 1, k + 1) if upto[k] - upto[s] > LONG else [k]
+            s = k
+    hashes, ends, j, c = [], [], 0, 0
+    for i in range(n):
         j = max(j, i + MIN_UNITS)
-        while j <= len(parts) and upto[j] - upto[i] < MIN_WORDS:
+        while j <= n and upto[j] - upto[i] < MIN_WORDS:
             j += 1
-        if j > len(parts):
+        if j > n:
             break
-        ends.append(j)
+        end = j
+        if i in starts:
+            c = max(c, starts[i] + MIN_UNITS - 1)
+            while c < len(borders) and upto[borders[c]] - upto[i] < MIN_WORDS:
+                c += 1
+            if c < len(borders):
+                end = borders[c]
+        ends.append(end)
     for h in map(xxh64_intdigest, (b"".join(digests[i:j]) for i, j in enumerate(ends)), repeat(42)):
         hashes.append(h - (1 << 64) if h >> 63 else h)
     return hashes, ends
@@ -110,7 +134,9 @@ def _removed(text: bytes, later: list[int]) -> tuple[list[bytes], list[bool]]:
 
 def later_spans(docs: DataFrame) -> DataFrame:
     """doc_id, th, starts: places of the spans that an earlier document has. ``docs``: doc_id, th, text."""
-    found = common.materialize(_spans_of(docs), "spans")
+    every = common.materialize(_spans_of(docs), "spans")
+    shared = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    found = common.materialize(every.join(shared, "h"), "shared")  # most spans have no equal: only their hashes are counted
     first = found.groupBy("h").agg(F.min(F.struct("doc_id", "th", "at")).alias("f"), F.count("*").alias("n")).where("n > 1").select("h", "f")
     joined = found.join(first, "h")
     later = joined.where(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("th") == F.col("f.th"))))

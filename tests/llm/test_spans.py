@@ -61,3 +61,68 @@ def test_long_sentences_are_cut_by_content(spark):
     docs = [(i, " ".join(prose(70 + i, 45).replace(".", "").replace("!", "").split()) + " " + passage) for i in range(2)]
     out = {r.doc_id: r.text for r in spans.dedup(spark.createDataFrame(docs, "doc_id long, text string")).select("row.*").collect()}
     assert out[0] == docs[0][1] and len(out[1]) < 0.5 * len(docs[1][1])
+
+
+def _plain(seed, n):
+    return " ".join(prose(seed, n).replace(".", "").replace("!", "").split())
+
+
+def test_any_50_shared_words_hold_a_span():
+    """A passage glued to other words on both sides, with no sentence ends or few, at any place."""
+    for k in range(300):
+        passage = _plain(1000 + k, 50) if k % 3 == 0 else " ".join(prose(1000 + k, 50).split())
+        if k % 3 == 1:  # sentences of 12 to 32 words
+            words = _plain(1000 + k, 50).split(" ")
+            cut = 12 + k % 21
+            passage = " ".join([*words[:cut], words[cut] + ".", *words[cut + 1 :]])
+        a, b = (set(spans.spans(spans.units(f"{_plain(s + k, 5 + k % 40)} {passage} {_plain(s + k + 500, 30)}".encode()))[0]) for s in (5000, 9000))
+        assert a & b, k
+
+
+def test_units_inside_a_sentence_are_short():
+    for k in range(20):
+        assert max(len(u.split()) for u in spans.units(_plain(k, 12 + 9 * k).encode())) <= 10
+
+
+def test_repeated_50_word_windows_by_brute_force(spark):
+    """Every stretch of 50 words or more that an earlier document of sf0.01 has loses half of its words or more."""
+    rows = sorted(common.table(spark, "/root/testdata/sf0.01", "documents").selectExpr("doc_id", "coalesce(text, '')", "xxhash64(coalesce(text, ''))").collect(), key=lambda r: (r[0], r[2]))
+    seen, texts, stretches, known = set(), [], [], set()
+    for _, t, _ in rows:
+        words = t.lower().encode().split()
+        windows = [b" ".join(words[i : i + 50]) for i in range(len(words) - 49)]
+        repeated = [False] * len(words)
+        for i, w in enumerate(windows):
+            if w in seen:
+                repeated[i : i + 50] = [True] * 50
+        texts.append(repeated)
+        seen.update(windows)
+    for (_, t, _), repeated in zip(rows, texts, strict=True):
+        parts = spans.units(t.encode())
+        hashes, ends = spans.spans(parts)
+        gone = [False] * len(parts)
+        for i, (h, j) in enumerate(zip(hashes, ends, strict=True)):
+            if h in known:
+                gone[i:j] = [True] * (j - i)
+        known.update(hashes)
+        at, place, flags = 0, 0, []  # of each byte, whether it went
+        for u, g in zip(parts, gone, strict=True):
+            flags += [g] * len(u)
+        raw = t.encode()
+        words = []
+        for w in raw.split():
+            place = raw.index(w, place)
+            words.append(flags[place])
+            place += len(w)
+        while at < len(repeated):
+            if repeated[at]:
+                to = at
+                while to < len(repeated) and repeated[to]:
+                    to += 1
+                stretches.append(sum(words[at:to]) / (to - at))
+                at = to
+            else:
+                at += 1
+    whole = sum(x == 0 for x in stretches)
+    lost_half = sum(x >= 0.5 for x in stretches)
+    assert len(stretches) > 150 and whole == 0 and lost_half == len(stretches)

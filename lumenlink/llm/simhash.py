@@ -22,7 +22,7 @@ the shingles' XXH64 values). Linked pairs (few differing bits) are found so:
 
 from __future__ import annotations
 
-from itertools import combinations, islice, repeat
+from itertools import combinations, groupby, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -144,12 +144,12 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return bits if bits.ndim == 1 else bits.sum(axis=1, dtype=np.int16)
 
 
-def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int, large, table: np.ndarray | None = None, may=None) -> tuple[np.ndarray, np.ndarray]:
+def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int, large, table: np.ndarray | None = None, may=None, sure=None) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (row, root row) of whole buckets; rows are sorted by ``key``.
 
     ``large(first, size)`` links the rows of a larger bucket. ``table`` is the
     pivot distance table (fixed pivots if not given); ``may(a, b)`` marks the
-    pairs that are let through to it.
+    pairs that are let through to it, ``sure(a, b)`` those of them that are linked uncompared.
     """
     n = len(fps)
     edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -165,6 +165,11 @@ def _bucket_links(key: np.ndarray, fps: np.ndarray, radius: int, pair_up_to: int
         if not len(at):
             break
         a = at[may(at, at + step)] if may else at
+        if sure:
+            known = sure(a, a + step)
+            found_a.append(a[known])
+            found_b.append(a[known] + step)
+            a = a[~known]
         a, b = survivors(table, a, a + step, radius)
         near = _distance(fps[a], fps[b]) <= radius
         found_a.append(a[near])
@@ -297,6 +302,8 @@ SHINGLE = 5
 SKETCH = 8
 LANES = 32
 COPY_RADIUS = 310  # of 2,048 bits: so many differ on average where sets of one size are alike to 0.8
+SLACK = 100  # bits more that a pair may differ in to be looked at: six standard deviations
+SMALL = 64  # sets up to this size are looked at whatever their SimHashes: these tell too little
 LANE_RADIUS = 24  # of the first 64: five standard deviations more than there
 SIZE_RATIO = 0.8  # sets of which one is smaller than this part of the other are not alike to 0.8
 N_REFERENCES = 4
@@ -358,9 +365,11 @@ def _cover(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarray,
     a, b, free = [], [], np.ones(n, bool)
 
     def near(i: int, rows: np.ndarray) -> np.ndarray:
-        rows = rows[np.bitwise_count(lane[rows] ^ lane[i]) <= LANE_RADIUS]
         rows = rows[np.minimum(sizes[rows], sizes[i]) >= SIZE_RATIO * np.maximum(sizes[rows], sizes[i])]
-        rows = rows[_distance(fps[rows], fps[i]) <= radius]
+        small = np.minimum(sizes[rows], sizes[i]) <= SMALL
+        rows = rows[small | (np.bitwise_count(lane[rows] ^ lane[i]) <= LANE_RADIUS)]
+        small = np.minimum(sizes[rows], sizes[i]) <= SMALL
+        rows = rows[small | (_distance(fps[rows], fps[i]) <= radius)]
         a.append(np.full(len(rows), i))
         b.append(rows)
         return rows
@@ -379,13 +388,70 @@ def _cover(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarray,
         for i in follows[lab[follows] != names[np.argmax(count)]]:
             rows = every
             for d in table:
-                rows = rows[np.abs(d[rows] - d[i]) <= radius]
+                rows = rows[(np.minimum(sizes[rows], sizes[i]) <= SMALL) | (np.abs(d[rows] - d[i]) <= radius)]
             near(i, rows)
     return np.concatenate(a), np.concatenate(b)
 
 
+def _alike(sets: list[np.ndarray]) -> list[int]:
+    """Of each set the first one that links reach; sets alike to 0.8 or more are linked, by exact count.
+
+    Each set that is reached is compared with all that are not, so a group of
+    copies costs few comparisons.
+    """
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array(list(map(len, sets)))
+    edge = np.cumsum([0, *size])
+    bears = np.zeros(len(ids) and int(ids.max()) + 1, bool)
+    root, left = [-1] * len(sets), np.arange(len(sets))
+    while len(left):
+        first, left = int(left[0]), left[1:]
+        root[first], todo = first, [first]
+        flat = np.concatenate([ids[edge[x] : edge[x + 1]] for x in left]) if len(left) else ids[:0]
+        while todo and len(left):
+            i = todo.pop()
+            bears[ids[edge[i] : edge[i + 1]]] = True
+            common_ = np.add.reduceat(bears[flat], np.cumsum([0, *size[left][:-1]]), dtype=np.int64)
+            bears[ids[edge[i] : edge[i + 1]]] = False
+            near = 9 * common_ >= 4 * (size[i] + size[left])  # common / union >= 4 / 5
+            for x in left[near].tolist():
+                root[x] = first
+                todo.append(x)
+            if near.any():
+                flat = flat[np.repeat(~near, size[left])]
+                left = left[~near]
+    return root
+
+
+def _verified(docs: DataFrame, members: DataFrame, n_words: int) -> DataFrame:
+    """node and root of exact classes. ``members``: candidate class (group), node, and doc_id and th of a row that has its text."""
+    texts = common.id_and_text(docs).withColumn("th", F.xxhash64("text")).withColumnsRenamed({"doc_id": "own_id", "th": "own_th"})
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_th") == F.col("th"))
+    found = texts.join(members, same).select("group", "node", "text")
+
+    def run(batches):
+        rows = (
+            row
+            for batch in batches
+            for i in range(0, batch.num_rows, 256)
+            for part in [batch.slice(i, 256)]
+            for row in zip(part.column("group").to_pylist(), part.column("node").to_pylist(), common.utf8(part), strict=True)
+        )
+        for _, group in groupby(rows, lambda r: r[0]):
+            sets = {}
+            for _, node, text in group:
+                if node not in sets:  # rows alike in id and text
+                    sets[node] = np.unique(np.fromiter(shingle_hashes(text, n_words), np.uint64))
+            nodes = list(sets)
+            root = [nodes[x] for x in _alike(list(sets.values()))]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(root, pa.int64())], names=["node", "root"])
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(n, "group").sortWithinPartitions("group", "node").mapInArrow(run, "node long, root long")
+
+
 def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RADIUS, hot: int = HOT) -> DataFrame:
-    """doc_id, th and component_id of near copies: sets of word shingles alike to 0.8 or more, as told by SimHashes of 2,048 bits.
+    """doc_id, th and component_id of near copies: sets of word shingles alike to 0.8 or more, by exact count.
 
     At that likeness SimHashes of 64 bits differ in 4 to 18 bits, which neither
     can be cut into blocks nor tells 0.8 from 0.6; 2,048 bits tell the likeness
@@ -393,7 +459,9 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
     discarded for certain. Texts whose shingle sets are alike to 0.8 share one
     of their 8 least shingle hashes but for 3 cases in a million, so these are
     the buckets; in a bucket the pivot table discards pairs and the survivors'
-    fingerprints are compared. In buckets of over ``hot`` rows two shared
+    fingerprints are compared, with SLACK bits to spare; pairs with a set of
+    SMALL shingles or fewer all pass. What these links join is a candidate
+    class, in which the shingle sets themselves decide. In buckets of over ``hot`` rows two shared
     hashes are asked for (all but 1 in 10,000 such pairs have them). Texts
     without words are alike.
     """
@@ -410,11 +478,15 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
             fps, sizes = cols["fp"], cols["n"]
             lane = fps[:, 0].copy()
 
+            def sure(a, b):
+                return np.minimum(sizes[a], sizes[b]) <= SMALL
+
             def may(a, b):
                 alike = np.minimum(sizes[a], sizes[b]) >= SIZE_RATIO * np.maximum(sizes[a], sizes[b])
-                return alike & (np.bitwise_count(lane[a] ^ lane[b]) <= LANE_RADIUS)
+                return alike & (sure(a, b) | (np.bitwise_count(lane[a] ^ lane[b]) <= LANE_RADIUS))
 
-            at, root = _bucket_links(key, fps, radius, hot, lambda s, m: _cover(fps[s : s + m], sizes[s : s + m], radius), _references(key, fps), may)
+            slack = radius + SLACK
+            at, root = _bucket_links(key, fps, slack, hot, lambda s, m: _cover(fps[s : s + m], sizes[s : s + m], slack), _references(key, fps), may, sure)
             return cols["node"][at], cols["node"][root]
 
         return _by_bucket(buckets, ("m", "k"), find)
@@ -424,8 +496,11 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
     # with a lesser hash the bucket of that hash, or its pairs if it is hot, too, has the rows
     finer = large.select(F.col("k").alias("m"), F.explode(F.expr("filter(least, x -> x > k)")).alias("k"), *wanted)
     pairs = pairs.unionByName(links_in(finer))
-    reach = graph.components(pairs)
-    rooted = nodes.select("node", "least_id").join(reach.withColumnRenamed("a", "node"), "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    reach = common.materialize(graph.components(pairs), "candidates")
+    grouped = reach.select(F.col("a").alias("node"), F.col("root").alias("group")).unionByName(reach.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
+    bearer = rows.join(grouped, "node").groupBy("group", "node").agg(F.min(F.struct("doc_id", "th")).alias("row"))
+    exact = _verified(docs, bearer.select("group", "node", "row.doc_id", "row.th"), n_words)
+    rooted = nodes.select("node", "least_id").join(exact, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     rooted = common.materialize(rooted, "rooted")
     of_root = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_row = rooted.join(of_root, "root").select("node", "component_id")

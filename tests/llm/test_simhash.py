@@ -183,3 +183,43 @@ def test_leaders_link_a_large_group(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.component_id for r in simhash.copy_classes(df, hot=8).collect()}
     assert out == {i: 0 for i in range(60)} | {99: 99}
+
+
+def _likeness_pairs(df):
+    """doc_id to its class by exact likeness of five-word shingle sets, every pair compared."""
+    sets = {r.doc_id: frozenset(simhash.shingle_hashes((r.text or "").encode(), 5)) for r in df.collect()}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    bearers = defaultdict(list)
+    for i, s in sets.items():
+        for x in s or {None}:
+            bearers[x].append(i)
+    for i, s in sets.items():
+        for j, c in Counter(j for x in s or {None} for j in bearers[x] if j < i).items():
+            if not s or 5 * c >= 4 * (len(s) + len(sets[j]) - c):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    return {i: top(i) for i in sets}
+
+
+def test_classes_are_exact(spark):
+    df = common.table(spark, "/root/testdata/sf0.01", "documents")
+    assert {r.doc_id: r.component_id for r in simhash.copy_classes(df).collect()} == _likeness_pairs(df)
+
+
+@pytest.mark.parametrize("hot", [4, 512])
+def test_short_texts_are_decided_exactly(spark, hot):
+    """Sets of 4 to 70 shingles, likeness just above, at and below 0.8."""
+    rows = []
+    for k in range(60):
+        n = 4 + k % 67
+        words = [f"w{k}x{i}" for i in range(n + 4)]
+        for more in (n // 4, n // 4 + 1):  # n of n + more shingles are shared: 0.8 or just under
+            rows.append(words + [f"v{k}y{more}z{i}" for i in range(more)])
+        rows += [words, [*words[:-1], f"last{k}"]]
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.copy_classes(df, hot=hot).collect()} == _likeness_pairs(df)

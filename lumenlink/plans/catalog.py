@@ -266,6 +266,23 @@ def block_topk_texts(spark, sf_dir):
     return blocking.block_tokens(*text_records(spark, sf_dir), TEXT_OPTIONS)
 
 
+@query(f"with {SQL_TEXTS}, tw as (select country, unnest({sql_words('name')}) as token from t) select token, country, count(*) as df from tw group by 1, 2 having count(*) < 10000")
+def rare_tokens_full(spark, sf_dir):
+    """With the reference's limit of 10,000 targets, as the two that follow."""
+    _, t = text_records(spark, sf_dir)
+    return blocking.rare_tokens(t, OPTIONS)
+
+
+@query(f"with {SQL_TEXTS}, {sql_scores(10_000)} select query_id, src, target_id, score from scored")
+def token_overlap_scores_full(spark, sf_dir):
+    return blocking.token_scores(*text_records(spark, sf_dir), OPTIONS)
+
+
+@query(f"with {SQL_TEXTS}, {sql_scores(10_000)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
+def block_topk_texts_full(spark, sf_dir):
+    return blocking.block_tokens(*text_records(spark, sf_dir), OPTIONS)
+
+
 @query(f"with {PARTS_Q_T}, {sql_scores(10_000)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
 def block_topk(spark, sf_dir):
     return part_candidates(spark, sf_dir)

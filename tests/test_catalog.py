@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB."""
 
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -39,3 +40,15 @@ def test_entry(spark):
 def test_trained_matcher(spark):
     rows = catalog.gbt_match(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == spark.read.parquet(f"{SF}/part.parquet").count()
+
+
+def test_frequent_tokens_of_texts_count(spark):
+    """Tokens in 200 to 9,999 targets score, as in the reference: all points of sf0.01 by brute force."""
+    sf = "/root/testdata/sf0.01"
+    q, t = ([(r.id, set(w for w in r.name.split() if len(w) >= 3)) for r in x.select("id", "name").collect()] for x in catalog.text_records(spark, sf))
+    df = Counter(w for _, words in t for w in words)
+    assert sum(n >= 200 for n in df.values()) > 0
+    points = sum(n for _, words in q for w in words if (n := df[w]) < 10_000)
+    got = catalog.token_overlap_scores_full(spark, sf).selectExpr("sum(score % 1000)").first()[0]
+    assert got == points
+    assert {(r.token, r.df) for r in catalog.rare_tokens_full(spark, sf).collect()} == {(w, n) for w, n in df.items() if n < 10_000}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,19 +60,67 @@ def jaro_winkler_one(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
-try:
-    from rapidfuzz.distance import JaroWinkler
-
-    _one = JaroWinkler.similarity
-except ImportError:
-    _one = jaro_winkler_one
+def _codes(s: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points (row x place, 0 beyond the end) and lengths."""
+    n = np.fromiter(map(len, s), np.int64, len(s))
+    out = np.zeros((len(s), int(n.max(initial=1))), np.uint32)
+    out[np.arange(out.shape[1]) < n[:, None]] = np.frombuffer("".join(s).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out, n
+
+
+def _jaro_winkler_block(a: list[str], b: list[str]) -> np.ndarray:
+    """``jaro_winkler_one`` of pairs of unlike, non-empty strings, a place of all first strings at a time."""
+    (x, n), (y, m) = _codes(a), _codes(b)
+    rows, places = np.arange(len(x)), np.arange(y.shape[1])
+    reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)
+    hit, taken = np.zeros(x.shape, bool), np.zeros(y.shape, bool)
+    for i in range(x.shape[1]):
+        fits = (y == x[:, i : i + 1]) & ~taken & (np.abs(places - i) <= reach[:, None]) & (places < m[:, None])
+        first = fits.argmax(axis=1)
+        hit[:, i] = found = fits[rows, first] & (i < n)
+        taken[rows[found], first[found]] = True
+    k = hit.sum(axis=1)
+    # the matched characters of both sides in their order, side by side: row by row they are equally many
+    swapped = np.add.reduceat(np.append(x[hit] != y[taken], False), np.minimum(np.cumsum(k) - k, k.sum()), dtype=np.int64) * (k > 0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        jaro = np.where(k > 0, (k / n + k / m + (k - swapped // 2) / k) / 3, 0.0)
+    width = min(4, x.shape[1], y.shape[1])
+    same = (x[:, :width] == y[:, :width]) & (np.arange(width) < np.minimum(n, m)[:, None])
+    prefix = same.cumprod(axis=1).sum(axis=1)
+    return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+
+
+_CELLS = 1 << 22  # compared at once
+_LONG = 48  # characters; longer pairs go one by one, where searching is faster than comparing all places
+
+
+def jaro_winkler_pairs(a: list[str], b: list[str]) -> np.ndarray:
+    """``jaro_winkler_one`` of each pair; pairs of like lengths are taken together."""
+    size = np.maximum(np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b)))
+    out, order = np.zeros(len(a)), np.argsort(size, kind="stable")
+    easy = np.array([x == y or not x or not y for x, y in zip(a, b, strict=True)], bool)
+    for i in np.flatnonzero(easy | (size > _LONG)).tolist():
+        out[i] = jaro_winkler_one(a[i], b[i])
+    order = order[~easy[order] & (size[order] <= _LONG)]
+    at = 0
+    while at < len(order):
+        step = max(1, _CELLS // (4 * int(size[order[at]])))
+        step = max(1, min(step, _CELLS // int(size[order[min(at + step, len(order)) - 1]])))
+        part = order[at : at + step]
+        out[part] = _jaro_winkler_block([a[i] for i in part.tolist()], [b[i] for i in part.tolist()])
+        at += step
+    return out
 
 
 @F.pandas_udf(DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    asked = a.notna()
+    out = pd.Series(np.zeros(len(a)), dtype="float64")
+    out[asked.to_numpy()] = jaro_winkler_pairs(a[asked].tolist(), b[asked].tolist())
+    return out
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
-    """There is no such function in Spark, so Arrow batches; equal and empty sides are answered outside."""
-    return F.when(~both(a, b), 0.0).when(a == b, 1.0).otherwise(_jaro_winkler(a, b))
+    """There is no such function in Spark, so numpy over Arrow batches; of equal and empty sides these hold nulls only."""
+    asked = both(a, b) & (a != b)
+    return F.when(~both(a, b), 0.0).when(a == b, 1.0).otherwise(_jaro_winkler(F.when(asked, a), F.when(asked, b)))

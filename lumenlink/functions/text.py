@@ -27,7 +27,7 @@ LEGAL_WORDS = {
     "assoc": "associates", "grp": "group", "mgmt": "management", "svcs": "services", "pte": "private", "mfg": "manufacturing", "svc": "service", "sol": "solutions",
 }
 RICH_LEGAL_WORDS = LEGAL_WORDS | {"plc": "plc", "gmbh": "gmbh", "tech": "technology", "dba": "dba", "ta": "dba"}
-RICH_LEGAL_SPELLINGS = {r"\bp\.v\.t": "private", r"\bl\.t\.d": "limited", r"\bt/a\b": "dba"}
+RICH_LEGAL_SPELLINGS = {r"\bp\.v\.t\b": "private", r"\bl\.t\.d\b": "limited", r"\bt/a\b": "dba"}
 ADDRESS_WORDS = {
     "str": "street", "ave": "avenue", "blvd": "boulevard", "cir": "circle", "hwy": "highway", "fwy": "freeway", "pkwy": "parkway", "flr": "floor",
     "apt": "apartment", "ste": "suite", "bldg": "building",
@@ -77,14 +77,10 @@ def swap_words(c: Column, words: dict[str, str]) -> Column:
 
 
 def swap_states(c: Column, states: dict[str, str]) -> Column:
-    """State names for codes where no letter is beside them; longer names first."""
+    """State names (one blank between their words) for codes where no letter is beside them; longer names first."""
     names = sorted(states, key=len, reverse=True)
-
-    def spaced(name: str) -> str:
-        return name.replace(" ", f"[{WS}]+")
-
-    swapped = reduce(lambda x, k: F.regexp_replace(x, rf"(?<![a-z]){spaced(k)}(?![a-z])", states[k]), names, c)
-    return F.when(c.rlike("|".join(map(spaced, names))), swapped).otherwise(c)
+    swapped = reduce(lambda x, k: F.regexp_replace(x, rf"(?<![a-z]){k}(?![a-z])", states[k]), names, c)
+    return F.when(c.rlike("|".join(names)), swapped).otherwise(c)
 
 
 def tokens(c: Column, least: int = 3) -> Column:
@@ -160,12 +156,14 @@ def romanise(s: str) -> str:
 
 @F.pandas_udf(StringType())
 def _romanise(s: pd.Series) -> pd.Series:
-    return s.map(romanise)
+    return s.map(romanise, na_action="ignore")
 
 
 def transliterate(c: Column) -> Column:
-    """ASCII text; rows that are ASCII already do not need Python's answer but share its batch."""
-    return _romanise(text(c))
+    """ASCII text; of rows that are ASCII already Python gets a null."""
+    x = text(c)
+    plain = F.octet_length(x) == F.char_length(x)
+    return F.when(plain, x).otherwise(_romanise(F.when(~plain, x)))
 
 
 def name_rich(c: Column) -> Column:

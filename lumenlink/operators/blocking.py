@@ -9,18 +9,38 @@ be candidates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenlink.functions import text
+from lumenlink.operators import order
 from lumenlink.schema import BlockingOptions, TfidfOptions
 
 
+def with_name_id(records: DataFrame) -> DataFrame:
+    """Add name_id, 128 bits that stand for name and country wherever these would be carried through joins."""
+    known = F.concat(F.length("name").cast("string"), F.lit(":"), "name", F.coalesce("country", F.lit("")))
+    return records.withColumn("name_id", F.unhex(F.md5(known.cast("binary"))))
+
+
 def exact_pairs(queries: DataFrame, targets: DataFrame) -> DataFrame:
     """query_id, src, target_id of records with equal, non-empty names and equal countries."""
-    q = queries.where("name <> ''").select(F.col("id").alias("query_id"), "name", "country")
-    t = targets.where("name <> ''").select("src", F.col("id").alias("target_id"), "name", "country")
-    return q.join(t, ["name", "country"]).select("query_id", "src", "target_id")
+    q = with_name_id(queries.where("name <> ''")).select(F.col("id").alias("query_id"), "name_id")
+    t = with_name_id(targets.where("name <> ''")).select("src", F.col("id").alias("target_id"), "name_id")
+    return q.join(t, "name_id").select("query_id", "src", "target_id")
+
+
+def exact_links(queries: DataFrame, targets: DataFrame) -> DataFrame:
+    """query_id, src, target_id, links: the first target with the query's name and country, and how many there are.
+
+    What ``exact_pairs`` tells, without spelling out the pairs within a name.
+    Queries without such a target are not in it.
+    """
+    t = with_name_id(targets.where("name <> ''")).groupBy("name_id").agg(F.min(F.struct("src", "id")).alias("first"), F.count("*").alias("links"))
+    q = with_name_id(queries.where("name <> ''")).select(F.col("id").alias("query_id"), "name_id")
+    return q.join(t, "name_id").select("query_id", "first.src", F.col("first.id").alias("target_id"), "links")
 
 
 def postings(targets: DataFrame, min_token: int = 3) -> DataFrame:
@@ -28,59 +48,93 @@ def postings(targets: DataFrame, min_token: int = 3) -> DataFrame:
     return targets.select(F.explode(text.tokens(F.col("name"), min_token)).alias("token"), "country", "src", F.col("id").alias("target_id"))
 
 
+@dataclass(frozen=True)
+class TargetIndex:
+    """What blocking needs of the targets: one row per distinct name, its rare tokens, its first k bearers."""
+
+    names: DataFrame  # t: name_id, country, n, first (src, id)
+    words: DataFrame  # token, country, t: tokens in fewer than max_df targets of the country
+    bearers: DataFrame  # t, src, target_id
+
+    def persist(self) -> TargetIndex:
+        return TargetIndex(self.names.persist(), self.words.persist(), self.bearers.persist())
+
+    def unpersist(self) -> None:
+        for df in (self.names, self.words, self.bearers):
+            df.unpersist()
+
+
+def _names(targets: DataFrame, min_token: int) -> DataFrame:
+    """name_id, country, words, n, first of the distinct names; the names themselves end here."""
+    rows = with_name_id(targets).select("name_id", "country", text.tokens(F.col("name"), min_token).alias("words"), "src", "id")
+    return rows.groupBy("name_id").agg(F.first("country").alias("country"), F.first("words").alias("words"), F.count("*").alias("n"), F.min(F.struct("src", "id")).alias("first"))
+
+
 def token_frequencies(targets: DataFrame, min_token: int = 3) -> DataFrame:
     """token, country, df: in how many targets of the country the token is."""
-    names = targets.groupBy("name", "country").agg(F.count("*").alias("n"))
-    return names.select(F.explode(text.tokens(F.col("name"), min_token)).alias("token"), "country", "n").groupBy("token", "country").agg(F.sum("n").alias("df"))
+    words = _names(targets, min_token).select(F.explode("words").alias("token"), "country", "n")
+    return words.groupBy("token", "country").agg(F.sum("n").alias("df"))
 
 
 def rare_tokens(targets: DataFrame, options: BlockingOptions = BlockingOptions()) -> DataFrame:
     return token_frequencies(targets, options.min_token).where(F.col("df") < options.max_df)
 
 
-def _name_scores(queries: DataFrame, targets: DataFrame, options: BlockingOptions) -> DataFrame:
-    """q_name, country, t_name, score of distinct names that share a rare token or are equal."""
-    tokens = text.tokens
-    q = queries.select("name", "country").distinct()
-    t = targets.select("name", "country").distinct()
-    q_words = q.select(F.explode(tokens(F.col("name"), options.min_token)).alias("token"), "country", F.col("name").alias("q_name"))
-    t_words = t.select(F.explode(tokens(F.col("name"), options.min_token)).alias("token"), "country", F.col("name").alias("t_name"))
-    rare = rare_tokens(targets, options).select("token", "country")
-    shared = q_words.join(rare, ["token", "country"]).join(t_words, ["token", "country"]).select("q_name", "country", "t_name", F.lit(1).alias("points"))
-    same = q.where("name <> ''").join(t, ["name", "country"]).select(F.col("name").alias("q_name"), "country", F.col("name").alias("t_name"), F.lit(options.exact_bonus).alias("points"))
-    return shared.unionByName(same).groupBy("q_name", "country", "t_name").agg(F.sum("points").alias("score"))
+def index_targets(targets: DataFrame, options: BlockingOptions = BlockingOptions()) -> TargetIndex:
+    """The index of ``targets`` (src, id, name, country); lazy. Persist it to match many batches of queries."""
+    names = _names(targets, options.min_token)
+    rare = rare_tokens(targets, options).select("token", "country").hint("merge")
+    words = names.select(F.explode("words").alias("token"), "country", F.col("name_id").alias("t")).join(rare, ["token", "country"])
+    place = F.row_number().over(Window.partitionBy("name_id").orderBy("src", "id"))
+    bearers = with_name_id(targets).select("name_id", "src", "id").withColumn("place", place).where(F.col("place") <= options.k)
+    return TargetIndex(names.select(F.col("name_id").alias("t"), "country", "n", "first"), words, bearers.select(F.col("name_id").alias("t"), "src", F.col("id").alias("target_id")))
+
+
+def _name_scores(queries: DataFrame, index: TargetIndex, options: BlockingOptions) -> DataFrame:
+    """q, t, score of distinct names (by name_id) that share a rare token or are equal.
+
+    Only ids and single tokens go through the joins, never names. The postings
+    are merged, not broadcast: the planner sizes them before they are exploded.
+    A token that many queries have is split by adaptive skew joins; of targets,
+    ``max_df`` bear it at most.
+    """
+    q = with_name_id(queries).select("name_id", "country", (F.col("name") != "").alias("named"), text.tokens(F.col("name"), options.min_token).alias("words"))
+    q = q.groupBy("name_id").agg(F.first("country").alias("country"), F.first("named").alias("named"), F.first("words").alias("words"))
+    q_words = q.select(F.explode("words").alias("token"), "country", F.col("name_id").alias("q"))
+    shared = q_words.join(index.words.hint("merge"), ["token", "country"]).select("q", "t", F.lit(1).alias("points"))
+    same = q.where("named").select(F.col("name_id").alias("q")).join(index.names.select("t").hint("merge"), F.col("q") == F.col("t")).select("q", "t", F.lit(options.exact_bonus).alias("points"))
+    return shared.unionByName(same).groupBy("q", "t").agg(F.sum("points").alias("score"))
 
 
 def token_scores(queries: DataFrame, targets: DataFrame, options: BlockingOptions = BlockingOptions()) -> DataFrame:
     """query_id, src, target_id, score of all record pairs: shared rare tokens, and the bonus for equal names."""
-    scores = _name_scores(queries, targets, options)
-    q = queries.select(F.col("id").alias("query_id"), F.col("name").alias("q_name"), "country")
-    t = targets.select("src", F.col("id").alias("target_id"), F.col("name").alias("t_name"), "country")
-    return scores.join(q, ["q_name", "country"]).join(t, ["t_name", "country"]).select("query_id", "src", "target_id", "score")
+    scores = _name_scores(queries, index_targets(targets, options), options)
+    q = with_name_id(queries).select(F.col("id").alias("query_id"), F.col("name_id").alias("q"))
+    t = with_name_id(targets).select("src", F.col("id").alias("target_id"), F.col("name_id").alias("t"))
+    return scores.join(q, "q").join(t, "t").select("query_id", "src", "target_id", "score")
 
 
 def top_k(scores: DataFrame, k: int, score: str = "score") -> DataFrame:
     """Add rank (1 .. k): score descending, then source, then id."""
-    order = Window.partitionBy("query_id").orderBy(F.desc(score), "src", "target_id")
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
+    best = Window.partitionBy("query_id").orderBy(F.desc(score), "src", "target_id")
+    return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
 
 
-def block_tokens(queries: DataFrame, targets: DataFrame, options: BlockingOptions = BlockingOptions()) -> DataFrame:
+def block_tokens(queries: DataFrame, targets: DataFrame | TargetIndex, options: BlockingOptions = BlockingOptions()) -> DataFrame:
     """query_id, src, target_id, score, rank: the k best targets of each query.
 
     k names at most can hold a query's k best records, so names are cut first,
     then their first k bearers are put in.
     """
     k = options.k
-    by_name = Window.partitionBy("name", "country").orderBy("src", "id")
-    bearers = targets.select("src", "id", "name", "country").withColumn("place", F.row_number().over(by_name)).where(F.col("place") <= k)
-    first = targets.groupBy("name", "country").agg(F.min(F.struct("src", "id")).alias("first")).withColumnRenamed("name", "t_name")
-    named = _name_scores(queries, targets, options).join(first, ["t_name", "country"])
-    best = named.withColumn("place", F.row_number().over(Window.partitionBy("q_name", "country").orderBy(F.desc("score"), "first"))).where(F.col("place") <= k)
-    records = best.select("q_name", "country", "t_name", "score").join(bearers.select(F.col("name").alias("t_name"), "country", "src", F.col("id").alias("target_id")), ["t_name", "country"])
-    ranked = records.withColumn("rank", F.row_number().over(Window.partitionBy("q_name", "country").orderBy(F.desc("score"), "src", "target_id"))).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
-    q = queries.select(F.col("id").alias("query_id"), F.col("name").alias("q_name"), "country")
-    return q.join(ranked, ["q_name", "country"]).select("query_id", "src", "target_id", "score", "rank")
+    index = targets if isinstance(targets, TargetIndex) else index_targets(targets, options)
+    named = _name_scores(queries, index, options).join(index.names.select("t", "first"), "t")
+    best = named.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "first"))).where(F.col("place") <= k)
+    records = best.select("q", "t", "score").join(index.bearers, "t")
+    best_first = Window.partitionBy("q").orderBy(F.desc("score"), "src", "target_id")
+    ranked = records.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
+    q = with_name_id(queries).select(F.col("id").alias("query_id"), F.col("name_id").alias("q"))
+    return q.join(ranked, "q").select("query_id", "src", "target_id", "score", "rank")
 
 
 # ---------------------------------------------------------------- TF-IDF
@@ -95,22 +149,33 @@ def term_counts(records: DataFrame, keys: list[str], body: str) -> DataFrame:
 def vocabulary(counts: DataFrame, options: TfidfOptions) -> DataFrame:
     """term, df of the fitted terms: df of at least min_df, the most frequent by total tf, ties by term."""
     by_term = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= options.min_df)
-    return by_term.orderBy(F.desc("total"), "term").limit(options.vocabulary).select("term", "df")
+    total, term = F.col("total"), F.col("term")
+    levels = [-F.floor(F.log2(total.cast("double")) * 64), -total, F.substring(term, 1, 3), F.substring(term, 4, 3)]
+    return order.first_n(by_term, options.vocabulary, levels, [F.desc("total"), "term"]).select("term", "df")
 
 
-def weights(counts: DataFrame, terms: DataFrame, n_docs: int, keys: list[str]) -> DataFrame:
+def weights(counts: DataFrame, terms: DataFrame, n_docs: Column, keys: list[str]) -> DataFrame:
     """keys, term, w: (1 + ln tf)(ln((1 + n) / (1 + df)) + 1), of length 1 per record."""
-    w = (F.lit(1.0) + F.log("tf")) * (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    w = (F.lit(1.0) + F.log("tf")) * (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
     raw = counts.join(terms, "term").select(*keys, "term", w.alias("w"))
     norms = raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norms, keys).select(*keys, "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
+def fit_rows(targets: DataFrame, options: TfidfOptions) -> DataFrame:
+    """The targets that TF-IDF is fitted on: all, or exactly ``options.sample`` of them, chosen by a seeded hash of source and id."""
+    if not options.sample:
+        return targets
+    chance = order.shuffled(F.concat_ws(":", "src", "id"), options.seed)
+    return order.first_n(targets, options.sample, order.hash_levels(chance), [chance])
+
+
 def tfidf_weights(queries: DataFrame, targets: DataFrame, options: TfidfOptions = TfidfOptions()) -> tuple[DataFrame, DataFrame]:
-    """Weights of queries (id, term, w) and targets (src, id, term, w), fitted on all targets (column body)."""
+    """Weights of queries (id, term, w) and targets (src, id, term, w), fitted on the targets' column body. Lazy."""
+    fitted = fit_rows(targets, options)
     counts = term_counts(targets, ["src", "id"], "body")
-    n_docs = targets.count()
-    terms = vocabulary(counts, options)
+    terms = vocabulary(counts if not options.sample else term_counts(fitted, ["src", "id"], "body"), options)
+    n_docs = fitted.agg(F.count("*").cast("double")).scalar()
     return weights(term_counts(queries, ["id"], "body"), terms, n_docs, ["id"]), weights(counts, terms, n_docs, ["src", "id"])
 
 

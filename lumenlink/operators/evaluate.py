@@ -43,13 +43,14 @@ def pr_curve(scored: DataFrame, score: str = "score", label: str = "is_match") -
     """threshold, precision, recall, f05 for each distinct score (precision and recall of score >= threshold).
 
     Cumulative counts run over distinct scores in two steps, so that no task
-    gets them all: a total per range of scores, then running sums in it.
+    gets them all: a total per range of scores, then running sums in it. Scores
+    outside 0 to 1 share the ranges at the ends.
     """
     at = scored.groupBy(F.col(score).alias("threshold")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    bucket = F.floor(F.col("threshold") * 1024)
+    bucket = F.floor(F.least(F.greatest(F.col("threshold"), F.lit(0.0)), F.lit(1.0)) * 1024)
     at = at.withColumn("_b", bucket)
     whole = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: 1025 at most for scores in 0 to 1
+    # one row per bucket: 1025 at most
     sums = at.groupBy("_b").agg(F.sum("n").alias("bn"), F.sum("pos").alias("bp"))
     before = sums.select("_b", F.coalesce(F.sum("bn").over(whole), F.lit(0)).alias("n0"), F.coalesce(F.sum("bp").over(whole), F.lit(0)).alias("p0"), F.sum("bp").over(Window.partitionBy()).alias("all_pos"))
     inside = Window.partitionBy("_b").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)

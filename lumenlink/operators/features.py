@@ -9,8 +9,11 @@ from lumenlink.functions import similarity, text
 from lumenlink.sources import tables
 
 
+KEYED = {"entity_id", "name", "addr", "country"}
+
+
 def keyed(records: DataFrame, *order: str) -> DataFrame:
-    """One row per entity_id (the last in ``order``) with name, address and country in the raw profile."""
+    """One row per entity_id (the last in ``order``, then by place) with name, address and country in the raw profile."""
     one = tables.last_wins(records, "entity_id", *order)
     return one.select("entity_id", text.raw(F.col("business_name")).alias("name"), text.raw(F.col("business_address")).alias("addr"), text.raw(F.col("country")).alias("country"))
 
@@ -18,10 +21,12 @@ def keyed(records: DataFrame, *order: str) -> DataFrame:
 def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFrame:
     """The eight features of (source1_entity_id, candidate_entity_id) pairs; pairs with an unknown side go.
 
-    ``targets`` may have src: of equal ids the later source holds.
+    ``targets`` may have src: of equal ids the later source holds. What
+    ``keyed`` returns is taken, too.
     """
-    q = keyed(queries).select(*[F.col(c).alias(f"q_{c}") for c in ("entity_id", "name", "addr", "country")])
-    t = keyed(targets, *[c for c in ("src",) if c in targets.columns]).select(*[F.col(c).alias(f"t_{c}") for c in ("entity_id", "name", "addr", "country")])
+    queries, targets = (x if KEYED <= set(x.columns) else keyed(x, *[c for c in ("src",) if c in x.columns]) for x in (queries, targets))
+    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("entity_id", "name", "addr", "country")])
+    t = targets.select(*[F.col(c).alias(f"t_{c}") for c in ("entity_id", "name", "addr", "country")])
     both = pairs.join(q, F.col("source1_entity_id") == F.col("q_entity_id")).join(t, F.col("candidate_entity_id") == F.col("t_entity_id"))
     a, b = (lambda c: F.col(f"q_{c}")), (lambda c: F.col(f"t_{c}"))
     return both.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenlink.functions import text
+from lumenlink.sources import tables
 
 
 def apply_threshold(scored: DataFrame, threshold: float, score: str = "score") -> DataFrame:
@@ -13,11 +14,16 @@ def apply_threshold(scored: DataFrame, threshold: float, score: str = "score") -
     return scored.where(F.col(score) >= threshold)
 
 
-def match_lists(queries: DataFrame, matches: DataFrame) -> DataFrame:
-    """source1_entity_id, matched_entity_ids (ascending, repetitions kept) for every query row; empty without matches."""
+def match_lists(queries: DataFrame, matches: DataFrame, placed: bool = False) -> DataFrame:
+    """source1_entity_id, matched_entity_ids (ascending, repetitions kept) for every query row; empty without matches.
+
+    ``placed`` keeps the query rows' place, by which ``write_delimited`` puts
+    the lists in the order of the queries' file.
+    """
     lists = matches.groupBy("source1_entity_id").agg(text.join_ids(F.sort_array(F.collect_list("candidate_entity_id"))).alias("_ids"))
-    out = queries.select(F.col("entity_id").alias("source1_entity_id")).join(lists, "source1_entity_id", "left")
-    return out.select("source1_entity_id", F.coalesce("_ids", F.lit("")).alias("matched_entity_ids"))
+    place = [tables.PLACE] if placed else []
+    out = queries.select(F.col("entity_id").alias("source1_entity_id"), *place).join(lists, "source1_entity_id", "left")
+    return out.select("source1_entity_id", F.coalesce("_ids", F.lit("")).alias("matched_entity_ids"), *place)
 
 
 def singletons(queries: DataFrame, matches: DataFrame) -> DataFrame:

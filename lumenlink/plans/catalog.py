@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenlink.functions import similarity, text
@@ -42,9 +42,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def parts(spark, sf_dir):
-    """Parts as source rows: name p_name, address p_type, country p_brand."""
+    """Parts as source rows: name p_name, address p_type (none for sizes divisible by 7), country p_brand."""
     p = table(spark, sf_dir, "part")
-    return p.select(F.concat(F.lit("P-"), "p_partkey").alias("entity_id"), F.col("p_name").alias("business_name"), F.col("p_type").alias("business_address"), F.col("p_brand").alias("country"))
+    address = F.when(F.col("p_size") % 7 != 0, F.col("p_type")).otherwise("")
+    return p.select(F.concat(F.lit("P-"), "p_partkey").alias("entity_id"), F.col("p_name").alias("business_name"), address.alias("business_address"), F.col("p_brand").alias("country"))
 
 
 def accounts(spark, sf_dir):
@@ -63,10 +64,12 @@ def documents(spark, sf_dir):
     return d.select(F.concat(F.lit("D-"), "doc_id").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.col("lang").alias("country"))
 
 
-def texts(spark, sf_dir):
-    """(benchmark items, [documents, conversation turns]) as source rows without a country."""
-    b = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("B-"), "item_id").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.lit("").alias("country"))
-    d = documents(spark, sf_dir).withColumn("country", F.lit(""))
+def texts(spark, sf_dir, countries: bool = False):
+    """(benchmark items, [documents, conversation turns]) as source rows; ``countries``: items have none, en or fr by turns, documents their language."""
+    country = F.element_at(F.array(F.lit(""), F.lit("EN"), F.lit("fr ")), (F.col("item_id") % 3 + 1).cast("int")) if countries else F.lit("")
+    b = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("B-"), "item_id").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), country.alias("country"))
+    d = documents(spark, sf_dir)
+    d = d if countries else d.withColumn("country", F.lit(""))
     v = table(spark, sf_dir, "conversations").select(F.concat(F.lit("V-"), "conv_id", F.lit("."), "turn").alias("entity_id"), F.col("text").alias("business_name"), F.lit("").alias("business_address"), F.lit("").alias("country"))
     return b, [d, v]
 
@@ -114,7 +117,7 @@ def sql_raw(x: str) -> str:
 
 
 SQL_PARTS = f"""parts as (
-  select 'P-' || p_partkey as id, {sql_token("p_name")} as name, {sql_country("p_brand")} as country, p_name, p_type, p_brand from part)"""
+  select 'P-' || p_partkey as id, {sql_token("p_name")} as name, {sql_country("p_brand")} as country, p_name, case when p_size % 7 <> 0 then p_type else '' end as p_type, p_brand from part)"""
 SQL_TEXTS = f"""q as (select 'B-' || item_id as id, {sql_token("text")} as name, '' as country, text as body0 from benchmark),
 t as (
   select 0 as src, 'D-' || doc_id as id, {sql_token("text")} as name, '' as country, text as body0 from documents
@@ -156,7 +159,6 @@ def text_records(spark, sf_dir):
     return lifecycles.token_records(b), lifecycles.token_records(tables.union_targets(*sources))
 
 
-TEXT_OPTIONS = BlockingOptions(k=K, max_df=200)
 
 # ---------------------------------------------------------------- normalisation
 
@@ -181,23 +183,36 @@ def norm_name_legal(spark, sf_dir):
 
 
 def _sql_states(x: str, states: dict[str, str]) -> str:
-    """No lookbehind in RE2: separators are doubled first, so that neighbours do not share one."""
+    """No lookbehind in RE2: a mark follows each separator, so that neighbours do not share one."""
     for k in sorted(states, key=len, reverse=True):
-        x = f"regexp_replace({x}, '(^|[^a-z]){k.replace(' ', '  ')}([^a-z]|$)', '\\1{states[k]}\\2', 'g')"
+        x = f"regexp_replace({x}, '(^|[^a-z]){k.replace(' ', ' \\x01')}([^a-z]|$)', '\\1{states[k]}\\2', 'g')"
     return x
 
 
-_ADDRESS = "'No. ' || s_suppkey || ', P.O. Box 12-A, ' || s_name || ' Road, ' || (['Illinois','West Virginia','Tamil Nadu','New York','Indiana St, Delhi'])[cast(s_suppkey % 5 + 1 as int)]"
+STATED = ("Illinois", "West  Virginia, Virginia", "Tamil Nadu", "New York", "Indiana St, Delhi", "New\tYork", "New  York", "northcarolina, NORTH CAROLINA.")
 
 
-@query(
-    "select s_suppkey, "
-    + sql_squeeze(sql_alnum(_sql_states(_sql_states(f"regexp_replace(regexp_replace(lower({_ADDRESS}), 'p\\.?\\s*o\\.?\\s*box\\s*[0-9a-z_\\-]*', '', 'g'), '([^a-z0-9])', '\\1\\1', 'g')", text.US_STATES), text.INDIA_STATES)))
-    + " as address from supplier"
-)
+def sql_choice(values: tuple[str, ...], key: str) -> str:
+    """One of the values by turns."""
+    return f"([{', '.join('e' + repr(v) for v in values)}])[cast({key} % {len(values)} + 1 as int)]"
+
+
+def choice(values: tuple[str, ...], key: str):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+
+
+def sql_codes(x: str, india: dict[str, str]) -> str:
+    """States for codes; ``x`` is in lower case."""
+    marked = f"regexp_replace({x}, '([^a-z0-9])', '\\1' || chr(1), 'g')"
+    return f"replace({_sql_states(_sql_states(marked, text.US_STATES), india)}, chr(1), '')"
+
+
+_ADDRESS = f"'No. ' || s_suppkey || ', P.O. Box 12-A, ' || s_name || ' Road, ' || {sql_choice(STATED, 's_suppkey')}"
+
+
+@query("select s_suppkey, " + sql_squeeze(sql_alnum(sql_codes(f"regexp_replace(lower({_ADDRESS}), 'p\\.?\\s*o\\.?\\s*box\\s*[0-9a-z_\\-]*', '', 'g')", text.INDIA_STATES))) + " as address from supplier")
 def norm_address_states(spark, sf_dir):
-    state = F.element_at(F.array(*[F.lit(s) for s in ("Illinois", "West Virginia", "Tamil Nadu", "New York", "Indiana St, Delhi")]), (F.col("s_suppkey") % 5 + 1).cast("int"))
-    address = F.concat(F.lit("No. "), "s_suppkey", F.lit(", P.O. Box 12-A, "), "s_name", F.lit(" Road, "), state)
+    address = F.concat(F.lit("No. "), "s_suppkey", F.lit(", P.O. Box 12-A, "), "s_name", F.lit(" Road, "), choice(STATED, "s_suppkey"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.address_tfidf(address).alias("address"))
 
 
@@ -206,10 +221,39 @@ def norm_raw_country(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.raw(F.col("text")).alias("raw"), text.country(F.col("lang")).alias("country"))
 
 
-@query(f"select 'P-' || p_partkey as entity_id, {sql_token('p_name')} as norm_name, {sql_token('p_type')} as norm_address, {sql_token('p_name')} || ' ' || {sql_token('p_type')} as combined, {sql_country('p_brand')} as country from part")
+SUFFIXES = (" [Co]", " (Pvt) Ltd.", " L.T.Designs", " P.V.T. L.T.D", " T/A Blue", " TA Tech Intl", ", Inc.", " Assoc Grp Mgmt", " Svcs GmbH PLC", " P.V.Technology", " <Corp.>", " {Sol}  Mfg", " dba Pte. LLP", "")
+PLACES = (
+    "No. 12-A, Near Str, New York", "PO Box 77, New  York", "P.O. Box, Goa", "p. o. box 9 opp Ave Blvd, Iowa", "Pin Code 12, Ste 4 Bldg 5, Delhi", "no.7 behind Pkwy; West Bengal", "Hwy 9/Fwy 3 Flr 2 Apt 1",
+    "adjacent Cir, Pincode 560001, Goa Karnataka", "New\tHampshire", "", "po box near Washington",
+)
+
+
+def sql_rich_name(x: str) -> str:
+    y = f"regexp_replace(lower({x}), '[\\[\\](){{}}<>]', ' ', 'g')"
+    for k, v in ({r"p\.v\.t": "private", r"l\.t\.d": "limited", "t/a": "dba"} | text.RICH_LEGAL_WORDS).items():
+        y = f"regexp_replace({y}, '\\b{k}\\b', '{v}', 'g')"
+    return sql_squeeze(sql_alnum(y))
+
+
+def sql_rich_address(x: str) -> str:
+    y = f"regexp_replace(lower({x}), 'p\\.?\\s*o\\.?\\s*box\\s*\\d+', '', 'g')"
+    for k, v in text.ADDRESS_WORDS.items():
+        y = f"regexp_replace({y}, '\\b{k}\\b', ' {v} ', 'g')"
+    y = f"regexp_replace({y}, '\\bno\\.\\s*([\\d\\-]+)', ' number \\1 ', 'g')"
+    for k in text.ADDRESS_NOISE:
+        y = f"regexp_replace({y}, '\\b{k}\\b', '  ', 'g')"
+    return sql_squeeze(sql_alnum(sql_codes(y, text.RICH_INDIA_STATES)))
+
+
+_RICH_NAME, _RICH_ADDRESS = sql_rich_name(f"p_name || {sql_choice(SUFFIXES, 'p_partkey')}"), sql_rich_address(f"p_partkey || ' ' || {sql_choice(PLACES, 'p_partkey')}")
+
+
+@query(f"select entity_id, norm_name, norm_addr, trim(norm_name || ' ' || norm_addr) as combined, country from (select 'P-' || p_partkey as entity_id, {_RICH_NAME} as norm_name, {_RICH_ADDRESS} as norm_addr, {sql_country('p_brand')} as country from part)")
 def normalize_record(spark, sf_dir):
-    """The rich profile of part names, which have no suffixes and are ASCII: there it is the plain one."""
-    return lifecycles.rich_records(parts(spark, sf_dir))
+    """The rich profile of part names with legal forms in many spellings, and of addresses by turns."""
+    p = table(spark, sf_dir, "part")
+    name, address = F.concat("p_name", choice(SUFFIXES, "p_partkey")), F.concat_ws(" ", F.col("p_partkey").cast("string"), choice(PLACES, "p_partkey"))
+    return lifecycles.rich_records(p.select(F.concat(F.lit("P-"), "p_partkey").alias("entity_id"), name.alias("business_name"), address.alias("business_address"), F.col("p_brand").alias("country")))
 
 
 # ---------------------------------------------------------------- sources and lists
@@ -220,13 +264,14 @@ def target_union(spark, sf_dir):
     return tables.union_targets(*accounts(spark, sf_dir)).select("src", "entity_id", "business_name")
 
 
-@query("""with u as (select 0 as src, o_custkey as k, o_orderkey as v from orders union all select 1, c_custkey, c_nationkey from customer)
-select 'K-' || k as entity_id, cast(v as bigint) as v, src from (select *, row_number() over (partition by k order by src desc, v desc) as r from u) where r = 1""")
+@query("""with u as (select 0 as src, o_custkey as k, o_orderkey as pos, cast(round(o_totalprice * 100) as bigint) as v from orders union all select 1, c_custkey, 0, c_nationkey from customer where c_nationkey < 10)
+select 'K-' || k as entity_id, cast(v as bigint) as v, src from (select *, row_number() over (partition by k order by src desc, pos desc) as r from u) where r = 1""")
 def last_wins(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.lit(0).alias("src"), F.col("o_custkey").alias("k"), F.col("o_orderkey").cast("long").alias("v"))
-    c = table(spark, sf_dir, "customer").select(F.lit(1).alias("src"), F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("long").alias("v"))
-    u = o.unionByName(c).select("src", F.concat(F.lit("K-"), "k").alias("entity_id"), "v")
-    return tables.last_wins(u, "entity_id", "src", "v").select("entity_id", "v", "src")
+    """Each customer's last order (which is not the dearest); of some nations' customers a second source holds."""
+    o = table(spark, sf_dir, "orders").select(F.lit(0).alias("src"), F.col("o_custkey").alias("k"), F.col("o_orderkey").cast("long").alias("at"), F.round(F.col("o_totalprice") * 100).cast("long").alias("v"))
+    c = table(spark, sf_dir, "customer").where("c_nationkey < 10").select(F.lit(1).alias("src"), F.col("c_custkey").alias("k"), F.lit(0).cast("long").alias("at"), F.col("c_nationkey").cast("long").alias("v"))
+    u = o.unionByName(c).select("src", "at", F.concat(F.lit("K-"), "k").alias("entity_id"), "v")
+    return tables.last_wins(u, "entity_id", "src", "at").select("entity_id", "v", "src")
 
 
 @query("select conv_id, unnest(list_filter(list_transform(string_split(text, ','), lambda x: " + sql_strip("x") + "), lambda x: x <> '')) as item from conversations")
@@ -244,42 +289,27 @@ def token_postings(spark, sf_dir):
     return blocking.postings(t)
 
 
-@query(f"with {SQL_TEXTS}, tw as (select country, unnest({sql_words('name')}) as token from t) select token, country, count(*) as df from tw group by 1, 2 having count(*) < 200")
+@query(f"with {SQL_TEXTS}, tw as (select country, unnest({sql_words('name')}) as token from t) select token, country, count(*) as df from tw group by 1, 2 having count(*) < 10000")
 def rare_tokens(spark, sf_dir):
     _, t = text_records(spark, sf_dir)
-    return blocking.rare_tokens(t, TEXT_OPTIONS)
+    return blocking.rare_tokens(t, OPTIONS)
 
 
-@query(f"with d as (select 'D-' || doc_id as id, {sql_token('text')} as name, {sql_country('lang')} as country from documents) select a.id as query_id, 0 as src, b.id as target_id from d a join d b using (name, country) where a.name <> ''")
-def exact_name_pairs(spark, sf_dir):
+@query(f"""with d as (select 'D-' || doc_id as id, {sql_token('text')} as name, {sql_country('lang')} as country from documents)
+select id as query_id, 0 as src, min(id) over (partition by name, country) as target_id, count(*) over (partition by name, country) as links from d where name <> ''""")
+def exact_name_links(spark, sf_dir):
+    """Documents with equal names and countries: of each the first one's id and how many there are; the pairs of a group are not spelled out."""
     d = lifecycles.token_records(documents(spark, sf_dir))
-    return blocking.exact_pairs(d, d.withColumn("src", F.lit(0)))
-
-
-@query(f"with {SQL_TEXTS}, {sql_scores(200)} select query_id, src, target_id, score from scored")
-def token_overlap_scores(spark, sf_dir):
-    return blocking.token_scores(*text_records(spark, sf_dir), TEXT_OPTIONS)
-
-
-@query(f"with {SQL_TEXTS}, {sql_scores(200)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
-def block_topk_texts(spark, sf_dir):
-    return blocking.block_tokens(*text_records(spark, sf_dir), TEXT_OPTIONS)
-
-
-@query(f"with {SQL_TEXTS}, tw as (select country, unnest({sql_words('name')}) as token from t) select token, country, count(*) as df from tw group by 1, 2 having count(*) < 10000")
-def rare_tokens_full(spark, sf_dir):
-    """With the reference's limit of 10,000 targets, as the two that follow."""
-    _, t = text_records(spark, sf_dir)
-    return blocking.rare_tokens(t, OPTIONS)
+    return blocking.exact_links(d, d.withColumn("src", F.lit(0)))
 
 
 @query(f"with {SQL_TEXTS}, {sql_scores(10_000)} select query_id, src, target_id, score from scored")
-def token_overlap_scores_full(spark, sf_dir):
+def token_overlap_scores(spark, sf_dir):
     return blocking.token_scores(*text_records(spark, sf_dir), OPTIONS)
 
 
 @query(f"with {SQL_TEXTS}, {sql_scores(10_000)} select query_id, src, target_id, score, rank from ranked where rank <= {K}")
-def block_topk_texts_full(spark, sf_dir):
+def block_topk_texts(spark, sf_dir):
     return blocking.block_tokens(*text_records(spark, sf_dir), OPTIONS)
 
 
@@ -329,8 +359,8 @@ cos as (select qw.id as query_id, tw.src, tw.id as target_id, round(sum(qw.w * t
 best as (select *, row_number() over (partition by query_id order by score desc, src, target_id) as rank from cos)"""
 
 
-def tfidf_records(spark, sf_dir):
-    b, sources = texts(spark, sf_dir)
+def tfidf_records(spark, sf_dir, countries: bool = False):
+    b, sources = texts(spark, sf_dir, countries)
     return lifecycles.tfidf_records(b), lifecycles.tfidf_records(tables.union_targets(*sources))
 
 
@@ -345,15 +375,22 @@ def tfidf_cosine_topk(spark, sf_dir):
     return blocking.top_k(blocking.cosine_pairs(*tfidf_records(spark, sf_dir)), K)
 
 
-@query(
-    SQL_TFIDF
-    + f""", nm as (select 'B-' || item_id as id, {sql_tfidf("text")} as name from benchmark),
-tm as (select 'D-' || doc_id as id, {sql_tfidf("text")} as name from documents union all select 'V-' || conv_id || '.' || turn, {sql_tfidf("text")} from conversations)
-select distinct query_id, target_id from (
-  select query_id, target_id from best where rank <= {K} union all select nm.id, tm.id from nm join tm using (name) where name <> '')"""
-)
+SQL_BLOCK_TFIDF = SQL_TFIDF + f""", nm as (select 'B-' || item_id as id, {sql_tfidf("text")} as name, (['', 'en', 'fr'])[cast(item_id % 3 + 1 as int)] as country from benchmark),
+tm as (select 'D-' || doc_id as id, {sql_tfidf("text")} as name, {sql_country("lang")} as country from documents union all select 'V-' || conv_id || '.' || turn, {sql_tfidf("text")}, '' from conversations),
+found as (select distinct query_id, target_id from (
+  select query_id, target_id from best join nm on nm.id = query_id join tm on tm.id = target_id where rank <= {K} and (nm.country = tm.country or nm.country = '')
+  union all select nm.id, tm.id from nm join tm using (name, country) where name <> ''))"""
+
+
+@query(SQL_BLOCK_TFIDF + " select * from found")
 def block_tfidf(spark, sf_dir):
-    return blocking.block_tfidf(*tfidf_records(spark, sf_dir), TfidfOptions(k=K))
+    return blocking.block_tfidf(*tfidf_records(spark, sf_dir, countries=True), TfidfOptions(k=K))
+
+
+@query(SQL_BLOCK_TFIDF + ", l as (select query_id, string_agg(target_id, ',' order by target_id) as ids from found group by 1) select nm.id as source1_entity_id, coalesce(ids, '') as candidate_entity_ids from nm left join l on nm.id = query_id")
+def candidate_lists_ascending(spark, sf_dir):
+    q, t = tfidf_records(spark, sf_dir, countries=True)
+    return blocking.candidate_lists(q, blocking.block_tfidf(q, t, TfidfOptions(k=K)), by_rank=False)
 
 
 # ---------------------------------------------------------------- features
@@ -375,8 +412,11 @@ SQL_FEATURES = f"with {PARTS_Q_T}, {sql_scores(10_000)}, {SQL_PAIR_FEATURES}"
 
 
 def part_features(spark, sf_dir):
-    p = parts(spark, sf_dir)
-    return lifecycles.pairs_with_features(p, p, part_candidates(spark, sf_dir))
+    """Of all candidate pairs, and of pairs with an id that no source has, which have no features."""
+    p, found = parts(spark, sf_dir), part_candidates(spark, sf_dir).select("query_id", "target_id")
+    ids = p.select("entity_id")
+    unknown = ids.select(F.col("entity_id").alias("query_id"), F.lit("P-unknown").alias("target_id")).unionByName(ids.select(F.lit("P-unknown").alias("query_id"), F.col("entity_id").alias("target_id")))
+    return lifecycles.pairs_with_features(p, p, found.unionByName(unknown))
 
 
 @query(SQL_FEATURES + " select * from feats")
@@ -385,35 +425,35 @@ def pair_features(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("name_levenshtein", "name_jaro_winkler", "addr_levenshtein")})
 
 
-_NAME_PAIRS = "with n as (select distinct p_name as name from part) select a.name as a, b.name as b, {} as score from n a, n b"
+_NEIGHBOURS = "with n as (select p_partkey as k, p_name || ' ' || p_type as name from part) select a.k as p_partkey, a.name as a, b.name as b, {} as score from n a join n b on b.k = a.k + 1"
 
 
-def _name_pairs(spark, sf_dir):
-    n = table(spark, sf_dir, "part").select("p_name").distinct()
-    return n.select(F.col("p_name").alias("a")).crossJoin(n.select(F.col("p_name").alias("b")))  # 64 names
+def _neighbours(spark, sf_dir):
+    """Each part's name and type beside the next part's."""
+    n = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("a"))
+    return n.join(n.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b")), "p_partkey")
 
 
-@query(_NAME_PAIRS.format("round(1.0e0 - levenshtein(a.name, b.name) / cast(greatest(length(a.name), length(b.name)) as double), 6)"))
+@query(_NEIGHBOURS.format("round(1.0e0 - levenshtein(a.name, b.name) / cast(greatest(length(a.name), length(b.name)) as double), 6)"))
 def levenshtein_sim(spark, sf_dir):
-    return _name_pairs(spark, sf_dir).withColumn("score", F.round(similarity.levenshtein(F.col("a"), F.col("b")), 6))
+    return _neighbours(spark, sf_dir).withColumn("score", F.round(similarity.levenshtein(F.col("a"), F.col("b")), 6))
 
 
-@query(_NAME_PAIRS.format("round(jaro_winkler_similarity(a.name, b.name), 6)"))
+@query(_NEIGHBOURS.format("round(jaro_winkler_similarity(a.name, b.name), 6)"))
 def jaro_winkler(spark, sf_dir):
-    return _name_pairs(spark, sf_dir).withColumn("score", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6))
+    return _neighbours(spark, sf_dir).withColumn("score", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6))
 
 
 # ---------------------------------------------------------------- labels and evaluation
-# true pairs: parts of a brand with equal names and types
+# true pairs: each part with the first of its brand that has its name and address
 
-SQL_TRUTH = """truth as (select a.id as source1_entity_id, b.id as entity_id from parts a join parts b on a.p_name = b.p_name and a.p_type = b.p_type and a.p_brand = b.p_brand)"""
+SQL_TRUTH = """truth as (select id as source1_entity_id, min(id) over (partition by p_name, p_type, p_brand) as entity_id from parts)"""
 SQL_LABELS = f"{SQL_FEATURES}, {SQL_TRUTH}, labelled as (select feats.*, cast(entity_id is not null as int) as is_match from feats left join truth on truth.source1_entity_id = feats.source1_entity_id and entity_id = candidate_entity_id)"
 
 
 def part_truth(spark, sf_dir):
-    p = parts(spark, sf_dir).select("entity_id", *[F.col(c).alias(f"_{c}") for c in ("business_name", "business_address", "country")])
-    keys = [c for c in p.columns if c != "entity_id"]
-    return p.withColumnRenamed("entity_id", "source1_entity_id").join(p, keys).select("source1_entity_id", "entity_id")
+    alike = Window.partitionBy("business_name", "business_address", "country")
+    return parts(spark, sf_dir).select(F.col("entity_id").alias("source1_entity_id"), F.min("entity_id").over(alike).alias("entity_id"))
 
 
 def part_labels(spark, sf_dir):
@@ -497,17 +537,27 @@ def match_summary(spark, sf_dir):
     return predict.match_summary(match_results(spark, sf_dir)).withColumn("matched_share", F.round("matched_share", 6))
 
 
-@query()
+SQL_SIDES = SQL_LABELS + """, g as (select source1_entity_id, row_number() over (order by md5(source1_entity_id || ':42')) as place, count(*) over () as n from (select distinct source1_entity_id from labelled)),
+sides as (select labelled.source1_entity_id, candidate_entity_id, is_match, case when place <= ceil(n * 0.2e0 - 1e-9) then 'test' else 'train' end as side from labelled join g using (source1_entity_id))"""
+
+
+@query(SQL_SIDES + " select * from sides")
 def group_split(spark, sf_dir):
-    """Which side of the grouped split each labelled pair is on (the hash is Spark's own, so there is no SQL)."""
-    train, test = model.group_split(part_labels(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", "is_match"))
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    """Which side of the grouped split each labelled pair is on: exactly a fifth of the parts, rounded up, is for testing."""
+    return model.with_side(part_labels(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", "is_match"))
+
+
+@query(SQL_SIDES + " select side, count(*) as pairs, count(*) filter (is_match = 1) as positives, round(count(*) filter (is_match = 1) / cast(count(*) as double), 6) as positive_share from sides group by 1")
+def split_stats(spark, sf_dir):
+    return model.split_stats(group_split(spark, sf_dir)).withColumn("positive_share", F.round("positive_share", 6))
 
 
 @query()
 def gbt_match(spark, sf_dir):
-    """Train on all labelled pairs, tune, and match: one list per part (20 trees here, 200 by default)."""
+    """Train on the labelled pairs (200 trees at most), tune, and match: one list per part."""
     labelled = part_labels(spark, sf_dir).persist()
-    fitted = model.train(labelled, iterations=20)
-    scored = model.score(fitted.pipeline, labelled)
-    return predict.match_lists(parts(spark, sf_dir), predict.apply_threshold(scored, fitted.threshold))
+    try:
+        fitted = model.train(labelled)
+    finally:
+        labelled.unpersist()
+    return predict.match_lists(parts(spark, sf_dir), predict.apply_threshold(model.score(fitted.pipeline, part_labels(spark, sf_dir)), fitted.threshold))

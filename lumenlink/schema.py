@@ -29,9 +29,14 @@ class BlockingOptions:
 
 @dataclass(frozen=True)
 class TfidfOptions:
-    """Vocabulary: terms in ``min_df`` targets or more, the ``vocabulary`` most frequent; ``digits`` rounds the cosine before ranking."""
+    """Vocabulary: terms in ``min_df`` targets or more, the ``vocabulary`` most frequent; ``digits`` rounds the cosine before ranking.
+
+    ``sample``: fit on so many targets, chosen by a hash with ``seed``; None fits on all.
+    """
 
     k: int = 30
     min_df: int = 2
     vocabulary: int = 100_000
     digits: int = 6
+    sample: int | None = None
+    seed: int = 42

@@ -42,6 +42,15 @@ def test_trained_matcher(spark):
     assert len(rows) == spark.read.parquet(f"{SF}/part.parquet").count()
 
 
+def test_texts_are_not_carried_through_joins(spark):
+    """Postings hold ids and tokens only, and are merged, not broadcast."""
+    for name in ("block_topk_texts", "token_overlap_scores"):
+        plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution()
+        joins = [x for x in plan.executedPlan().toString().split("\n") if "Join" in x]
+        assert not any("token" in x and "Broadcast" in x for x in joins) and sum("SortMergeJoin" in x for x in joins) >= 3
+        assert not any("name#" in x for x in plan.optimizedPlan().toString().split("\n") if "Join" in x or "Generate" in x)
+
+
 def test_frequent_tokens_of_texts_count(spark):
     """Tokens in 200 to 9,999 targets score, as in the reference: all points of sf0.01 by brute force."""
     sf = "/root/testdata/sf0.01"
@@ -49,6 +58,6 @@ def test_frequent_tokens_of_texts_count(spark):
     df = Counter(w for _, words in t for w in words)
     assert sum(n >= 200 for n in df.values()) > 0
     points = sum(n for _, words in q for w in words if (n := df[w]) < 10_000)
-    got = catalog.token_overlap_scores_full(spark, sf).selectExpr("sum(score % 1000)").first()[0]
+    got = catalog.token_overlap_scores(spark, sf).selectExpr("sum(score % 1000)").first()[0]
     assert got == points
-    assert {(r.token, r.df) for r in catalog.rare_tokens_full(spark, sf).collect()} == {(w, n) for w, n in df.items() if n < 10_000}
+    assert {(r.token, r.df) for r in catalog.rare_tokens(spark, sf).collect()} == {(w, n) for w, n in df.items() if n < 10_000}

@@ -2,14 +2,20 @@
 
 The ranks become a literal rank map: an array of small maps, indexed by a hash
 of the piece, made from one JSON literal that Catalyst folds into a constant
-(a lookup in one large map literal would scan its 50,000 keys). Distinct words
-are counted over all texts; the fold merges the lowest-ranked adjacent pair of
-byte pieces until none has a rank.
-
-Documents are put together in Arrow: per-token joins would shuffle several
-times the text. The most frequent encoded words (a fixed number, so the table
-sent to executors is bounded) are looked up, all others - and words too long
-for the fold's quadratic steps - are merged in place by a heap.
+(a lookup in one large map literal would scan its 50,000 keys).
+
+One stage does all, without a shuffle, a broadcast or a driver's hand:
+
+1. ``words``: each text is cut by the pattern; a task sends every word that is
+   new to it as a row of its own, ahead of the documents that use it, and of
+   each document the places of its words in the task's list.
+2. Spark's higher-order functions encode each such word: a fold over the word's
+   borders merges the adjacent pair of least rank until none has one. The same
+   projection decodes the ids again, by concatenating the pieces they stand for.
+3. ``documents``: ids and decoded bytes of each document's words, side by side.
+
+A task's list holds WORDS_HELD words; then it begins anew. Words of over
+FOLD_BYTES bytes, which the fold would take seconds for, are merged by a heap.
 """
 
 from __future__ import annotations
@@ -18,21 +24,21 @@ import base64
 import hashlib
 import heapq
 import json
-from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 BUCKETS = 1 << 15
-TOP_WORDS = 200_000
-WORDS_HELD = 300_000  # that a worker counts or remembers at once
-FOLD_BYTES = 32  # longer words go to the heap
+WORDS_HELD = 400_000  # of a task, at once
+FOLD_BYTES = 512
+_NONE = 1 << 51  # above all ranks, which are shifted by _PLACE
+_PLACE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,6 +54,15 @@ def _bucket(piece: Column) -> Column:
     return F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int")
 
 
+def _no_ids() -> Column:
+    return F.array().cast("array<int>")
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value evaluated once: a one-element array carries it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 class RankMap:
     """The rank map as Spark literals: pieces to ranks, and ranks to pieces."""
 
@@ -71,45 +86,44 @@ class RankMap:
     def encode_word(self, word: Column) -> Column:
         """array<int> of a binary word's ids: the whole word if it has a rank, else the fold. Empty words have none.
 
-        Quadratic in the word's bytes; use it on distinct words. The rank map
+        A step costs the word's bytes; use it on distinct words. The rank map
         stands in the plan once, as the plan's description would be some 20 MB
         otherwise.
         """
-        box = F.array(F.struct(word.alias("word"), self.by_piece.alias("ranks")))
-        return F.get(F.transform(box, lambda b: self._encode(b["word"], b["ranks"])), 0)
+        return _once(F.struct(word.alias("word"), self.by_piece.alias("ranks")), lambda b: self._encode(b["word"], b["ranks"]))
 
     def _encode(self, word: Column, ranks: Column) -> Column:
         n = F.octet_length(word)
-        single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-
-        def merge(pieces: Column, _: Column) -> Column:
-            # the lowest rank of an adjacent pair, with its place: equal ranks go to the first place
-            best = F.array_min(
-                F.transform(
-                    F.sequence(F.lit(1), F.size(pieces) - 1),
-                    lambda i: F.struct(F.coalesce(self.rank(ranks, F.concat(F.get(pieces, i - 1), F.get(pieces, i))), F.lit(2**31 - 1)).alias("r"), i.alias("i")),
-                )
-            )
-            # evaluate best once: a one-element array carries it
-            step = F.transform(
-                F.array(best),
-                lambda b: F.when(b["r"] == 2**31 - 1, pieces).otherwise(
-                    F.concat(
-                        F.slice(pieces, F.lit(1), b["i"] - 1),
-                        F.array(F.concat(F.get(pieces, b["i"] - 1), F.get(pieces, b["i"]))),
-                        F.slice(pieces, b["i"] + 2, F.size(pieces)),
-                    )
-                ),
-            )
-            return F.when(F.size(pieces) < 2, pieces).otherwise(F.get(step, 0))
-
-        fold = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), single, merge)
-        whole = self.rank(ranks, word)
-        return (
-            F.when(n == 0, F.array().cast("array<int>"))
-            .when(whole.isNotNull(), F.array(whole))
-            .otherwise(F.transform(fold, lambda p: self.rank(ranks, p)))
-        )
+
+        def rank_of(start: Column, stop: Column) -> Column:
+            piece = F.substring(word, start + 1, stop - start)
+            return F.coalesce(self.rank(ranks, piece).cast("long") * _PLACE, F.lit(_NONE))
+
+        # borders of the pieces, and of each two adjacent pieces their joint rank with their place, so that the least is the one to merge
+        borders = F.sequence(F.lit(0), n)
+        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank_of(i, i + 2) + i)
+
+        def merge(state: Column, _: Column) -> Column:
+            """Merge the adjacent pair of least rank (the first of equal ones); of the pairs' ranks only those beside it change."""
+            old = state["pairs"]
+
+            def merged(at: Column) -> Column:
+                def ranked(left: Column) -> Column:
+                    def pair(start: Column, i: Column) -> Column:
+                        return F.when(i < at - 1, F.get(old, i)).when(i > at, F.get(old, i + 1) - 1).otherwise(rank_of(start, F.get(left, i + 2)) + i)
+
+                    return F.struct(left.alias("borders"), F.transform(F.slice(left, F.lit(1), F.size(left) - 2), pair).alias("pairs"))
+
+                return _once(F.filter(state["borders"], lambda _, i: i != at + 1), ranked)
+
+            return _once(F.coalesce(F.array_min(old), F.lit(_NONE)), lambda least: F.when(least >= _NONE, state).otherwise(_once((least % _PLACE).cast("int"), merged)))
+
+        def ids(state: Column) -> Column:
+            left = state["borders"]
+            return F.transform(F.slice(left, F.lit(1), F.size(left) - 1), lambda start, i: self.rank(ranks, F.substring(word, start + 1, F.get(left, i + 1) - start)))
+
+        fold = F.aggregate(F.sequence(F.lit(1), n - 1), F.struct(borders.alias("borders"), pairs.alias("pairs")), merge, ids)
+        return _once(self.rank(ranks, word), lambda whole: F.when(n == 0, _no_ids()).when(whole.isNotNull(), F.array(whole)).otherwise(fold))
 
     def decode_ids(self, ids: Column) -> Column:
         """The binary that an array of ids stands for: the pieces, concatenated."""
@@ -165,104 +179,100 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # ---------------------------------------------------------------- documents
 
 
-def words_of(docs: DataFrame, pattern: str) -> DataFrame:
-    """word (binary) and n: how often each match of ``pattern`` occurs in all texts, counted per batch first."""
+class _Places(dict):
+    """Places of words in the order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
 
-    def run(batches):
-        find = regex.compile(pattern).findall
-        c: Counter = Counter()
 
-        def out():
-            got = pa.RecordBatch.from_arrays([pa.array([w.encode() for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
-            c.clear()
-            return got
+def _words(src: DataFrame, ranks: dict[bytes, int], pattern: str, held: int) -> DataFrame:
+    """Rows of two kinds, in each partition the words before the documents that use them.
 
+    word, ready (ids, of long words only); or doc_id and at (the words' places
+    since the last row with ``anew``, as unsigned 32-bit integers).
+    """
+    schema = "doc_id long, word binary, ready array<int>, at binary, anew boolean"
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.bool_()]
+
+    def run(batches):
+        find, places, anew = regex.compile(pattern).findall, _Places(), True
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                for t in batch.column("text").slice(i, 512).to_pylist():
-                    c.update(find(t or ""))
-                if len(c) >= WORDS_HELD:
-                    yield out()
-        if c:
-            yield out()
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                if len(places) >= held:
+                    places, anew = _Places(), True
+                known, at = len(places), []
+                for t in part.column("text").to_pylist():
+                    found = find(t)
+                    at.append(np.fromiter(map(places.__getitem__, found), "<u4", len(found)).tobytes())
+                new = [w.encode() for w in islice(places, known, None)]
+                ready = [merge_word(w, ranks) if len(w) > FOLD_BYTES else None for w in new]
+                n, m = len(new), len(at)
+                cols = ([None] * n + part.column("doc_id").to_pylist(), new + [None] * m, ready + [None] * m, [None] * n + at, [anew] + [False] * (n + m - 1))
+                anew = False
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
         common.release()
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return src.mapInArrow(run, schema)
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Add ids (array<int>) to a table of distinct binary words of FOLD_BYTES bytes at most."""
+    """Add ids (array<int>) to a table of binary words."""
     rank_map = RankMap(ranks)
     return words.withColumn("ids", rank_map.encode_word(F.col("word")))
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", top_words: int = TOP_WORDS, keep_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, words_held: int = WORDS_HELD) -> DataFrame:
     """Encode every whole text and decode the ids again.
 
     Returns doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit
     ids), decoded_sha256; ``keep_ids`` adds ids and decoded. Null counts as the
-    empty text, which has no tokens; repeated rows are each answered.
+    empty text, which has no tokens; repeated rows are each answered; an empty
+    table gives an empty one; other columns are not looked at.
     """
-    spark: SparkSession = docs.sparkSession
     ranks = read_ranks(ranks_path)
-    src = common.id_and_text(docs, id_col, text_col)
-    frequent = words_of(src, pattern).where((F.octet_length("word") <= FOLD_BYTES) & (F.col("n") > 1))
-    # a fixed number of words, so the table that goes to executors is bounded
-    top = frequent.orderBy(F.desc("n"), "word").limit(top_words).select("word")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = encode_words(common.materialize(top, "words").repartition(n), ranks)
-    got = table.toArrow().combine_chunks()
-    ids = got.column("ids").combine_chunks()
-    flat = ids.flatten().to_numpy().astype("<u4")
-    ends = np.cumsum(pa.compute.list_value_length(ids).to_numpy())
-    shared = spark.sparkContext.broadcast((ranks, got.column("word").to_pylist(), flat, ends))
-    del got, ids, flat
-    common.release()
+    rank_map = RankMap(ranks)
+    rows = _words(common.id_and_text(docs, id_col, text_col), ranks, pattern, words_held)
+    ids = F.when(F.col("ready").isNotNull(), F.col("ready")).when(F.col("word").isNotNull(), rank_map.encode_word(F.col("word")))
+    rows = rows.select("doc_id", "at", "anew", ids.alias("ids"))
+    rows = rows.select("*", F.when(F.col("ids").isNotNull(), rank_map.decode_ids(F.col("ids"))).alias("decoded"))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep_ids
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
 
     def run(batches):
-        find = regex.compile(pattern).findall
-        rank_of, words, flat_ids, ends = shared.value
-        n_ids = max(rank_of.values(), default=-1) + 1
-        sizes, buffer = np.zeros(n_ids, np.int64), []
-        for piece, rank in sorted(rank_of.items(), key=lambda x: x[1]):
-            sizes[rank] = len(piece)
-            buffer.append(piece)
-        all_pieces = np.frombuffer(b"".join(buffer), np.uint8)
-        piece_at = np.cumsum(sizes) - sizes
-        known = {w.decode(): flat_ids[a:b].tobytes() for w, a, b in zip(words, np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=False)}
-        del words, flat_ids
-        rare: dict[str, bytes] = {}
-
-        def miss(w: str) -> bytes:
-            got = np.array(merge_word(w.encode(), rank_of), "<u4").tobytes()
-            if len(w) < 64:
-                if len(rare) >= WORDS_HELD:
-                    rare.clear()
-                rare[w] = got
-            return got
-
-        get, again = known.get, rare.get
-
-        def decode(ids: np.ndarray) -> bytes:
-            size = sizes[ids]
-            to = np.cumsum(size)
-            return all_pieces[np.repeat(piece_at[ids] - to + size, size) + np.arange(to[-1] if len(to) else 0)].tobytes()
-
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep_ids
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
+        packed: list[bytes] = []  # of each word, its ids in 4 bytes each
+        decoded: list[bytes] = []
+
+        def documents(part):
+            out = []
+            for i, at in zip(part.column("doc_id").to_pylist(), part.column("at").to_pylist(), strict=True):
+                places = np.frombuffer(at, "<u4").tolist()
+                row, back = b"".join(map(packed.__getitem__, places)), b"".join(map(decoded.__getitem__, places))
+                out.append([i, len(row) // 4, hashlib.sha256(row).hexdigest(), hashlib.sha256(back).hexdigest()] + ([np.frombuffer(row, "<i4"), back] if keep_ids else []))
+            cols = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=False)], names=names)
+
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                rows = []
-                for t in part.column("text").to_pylist():
-                    packed = b"".join([get(w) or again(w) or miss(w) for w in find(t or "")])
-                    ids = np.frombuffer(packed, "<u4")
-                    decoded = b"".join(decode(ids[k : k + (1 << 20)]) for k in range(0, len(ids), 1 << 20))
-                    row = [len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()]
-                    rows.append(row + ([ids.astype(np.int32), decoded] if keep_ids else []))
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=False))], names=names)
+            kind = batch.column("at").is_valid().to_numpy(zero_copy_only=False)
+            anew = batch.column("anew").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | anew[1:]]).tolist() if len(kind) else []
+            for a, b in zip(cuts, [*cuts[1:], len(kind)], strict=True):
+                if anew[a]:
+                    packed.clear()
+                    decoded.clear()
+                part = batch.slice(a, b - a)
+                if kind[a]:
+                    for k in range(0, b - a, 256):
+                        yield documents(part.slice(k, 256))
+                    continue
+                col = part.column("ids")
+                flat = col.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+                ends = (4 * np.cumsum(np.diff(col.offsets.to_numpy()))).tolist()
+                packed += [flat[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+                decoded += part.column("decoded").to_pylist()
         common.release()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if keep_ids else "")
-    return src.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -31,8 +31,18 @@ def test_query_is_the_library(spark, sf, library):
 
 
 def test_awkward_rows(awkward, awkward_rows, library):
-    out = bpe.encode_documents(awkward, queries.RANKS, public_tokenizers.PATTERN, top_words=50)
-    assert Counter(map(tuple, out.collect())) == Counter(digest(library, r[0], r[1]) for r in awkward_rows)
+    for held in (bpe.WORDS_HELD, 1, 300):
+        out = bpe.encode_documents(awkward, queries.RANKS, public_tokenizers.PATTERN, words_held=held)
+        assert Counter(map(tuple, out.collect())) == Counter(digest(library, r[0], r[1]) for r in awkward_rows)
+
+
+def test_words_go_through_the_fold(awkward, ranks, monkeypatch):
+    """Only words of over FOLD_BYTES bytes are merged elsewhere, and nothing is shuffled."""
+    rows = bpe._words(common.id_and_text(awkward), ranks, public_tokenizers.PATTERN, 100).collect()
+    words = [r for r in rows if r.word is not None]
+    assert any(r.ready for r in words) and all((r.ready is not None) == (len(r.word) > bpe.FOLD_BYTES) for r in words)
+    plan = bpe.encode_documents(awkward, queries.RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("InMemoryRelation")[0] and "aggregate(" in plan
 
 
 def test_empty_table(nothing):

@@ -51,6 +51,15 @@ RICH_INDIA_STATES = INDIA_STATES | {"goa": "ga"}
 # ---- pieces ----
 
 
+def once(columns: dict[str, Column]) -> Column:
+    """For select(): the columns, evaluated once a row, whatever filters and expressions use them later.
+
+    The optimizer copies expressions into each filter that mentions them; it
+    does not reach into a generator (of one row, here).
+    """
+    return F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()])))
+
+
 def text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -22,7 +22,7 @@ from lumenlink.schema import BlockingOptions, TfidfOptions
 def with_name_id(records: DataFrame) -> DataFrame:
     """Add name_id, 128 bits that stand for name and country wherever these would be carried through joins."""
     known = F.concat(F.length("name").cast("string"), F.lit(":"), "name", F.coalesce("country", F.lit("")))
-    return records.withColumn("name_id", F.unhex(F.md5(known.cast("binary"))))
+    return records.withColumn("name_id", F.coalesce(F.unhex(F.md5(known.cast("binary"))), F.lit(b"")))  # never null, so nothing asks for that
 
 
 def exact_pairs(queries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def postings(targets: DataFrame, min_token: int = 3) -> DataFrame:
 class TargetIndex:
     """What blocking needs of the targets: one row per distinct name, its rare tokens, its first k bearers."""
 
-    names: DataFrame  # t: name_id, country, n, first (src, id)
+    names: DataFrame  # t: name_id, first (src, id)
     words: DataFrame  # token, country, t: tokens in fewer than max_df targets of the country
     bearers: DataFrame  # t, src, target_id
 
@@ -65,14 +65,18 @@ class TargetIndex:
 
 
 def _names(targets: DataFrame, min_token: int) -> DataFrame:
-    """name_id, country, words, n, first of the distinct names; the names themselves end here."""
+    """name_id, row (src, id, country, words of the first target) and n of the distinct names; the names themselves end here.
+
+    One aggregate holds it all, and n stays in use, so that everything which
+    is made of the names shares one shuffle of them.
+    """
     rows = with_name_id(targets).select("name_id", "country", text.tokens(F.col("name"), min_token).alias("words"), "src", "id")
-    return rows.groupBy("name_id").agg(F.first("country").alias("country"), F.first("words").alias("words"), F.count("*").alias("n"), F.min(F.struct("src", "id")).alias("first"))
+    return rows.groupBy("name_id").agg(F.min(F.struct("src", "id", "country", "words")).alias("row"), F.count("*").alias("n")).where("n > 0")
 
 
 def token_frequencies(targets: DataFrame, min_token: int = 3) -> DataFrame:
     """token, country, df: in how many targets of the country the token is."""
-    words = _names(targets, min_token).select(F.explode("words").alias("token"), "country", "n")
+    words = _names(targets, min_token).select(F.explode("row.words").alias("token"), "row.country", "n")
     return words.groupBy("token", "country").agg(F.sum("n").alias("df"))
 
 
@@ -84,10 +88,10 @@ def index_targets(targets: DataFrame, options: BlockingOptions = BlockingOptions
     """The index of ``targets`` (src, id, name, country); lazy. Persist it to match many batches of queries."""
     names = _names(targets, options.min_token)
     rare = rare_tokens(targets, options).select("token", "country").hint("merge")
-    words = names.select(F.explode("words").alias("token"), "country", F.col("name_id").alias("t")).join(rare, ["token", "country"])
+    words = names.select(F.explode("row.words").alias("token"), "row.country", F.col("name_id").alias("t")).join(rare, ["token", "country"])
     place = F.row_number().over(Window.partitionBy("name_id").orderBy("src", "id"))
     bearers = with_name_id(targets).select("name_id", "src", "id").withColumn("place", place).where(F.col("place") <= options.k)
-    return TargetIndex(names.select(F.col("name_id").alias("t"), "country", "n", "first"), words, bearers.select(F.col("name_id").alias("t"), "src", F.col("id").alias("target_id")))
+    return TargetIndex(names.select(F.col("name_id").alias("t"), F.struct("row.src", "row.id").alias("first")), words, bearers.select(F.col("name_id").alias("t"), "src", F.col("id").alias("target_id")))
 
 
 def _name_scores(queries: DataFrame, index: TargetIndex, options: BlockingOptions) -> DataFrame:

@@ -71,7 +71,8 @@ def fit(train: DataFrame, features: tuple[str, ...] = schema.FEATURE_COLUMNS, it
     trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=iterations, maxDepth=5, stepSize=0.05, maxBins=255, seed=seed, maxMemoryInMB=1024)
     if rows > EARLY_STOP_ROWS:
         weighted = weighted.withColumn("held_out", F.pmod(F.xxhash64(*features, F.lit(seed)), F.lit(10)) == 0)
-        trees = trees.setValidationIndicatorCol("held_out").setValidationTol(1e-4)
+        trees = trees.setValidationIndicatorCol("held_out")
+        trees._set(validationTol=1e-4)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), trees]).fit(weighted)
 
 

@@ -553,11 +553,11 @@ def split_stats(spark, sf_dir):
 
 
 @query()
-def gbt_match(spark, sf_dir):
-    """Train on the labelled pairs (200 trees at most), tune, and match: one list per part."""
+def gbt_match(spark, sf_dir, iterations: int = 200):
+    """Train on the labelled pairs, tune, and match: one list per part."""
     labelled = part_labels(spark, sf_dir).persist()
     try:
-        fitted = model.train(labelled)
+        fitted = model.train(labelled, iterations)
     finally:
         labelled.unpersist()
     return predict.match_lists(parts(spark, sf_dir), predict.apply_threshold(model.score(fitted.pipeline, part_labels(spark, sf_dir)), fitted.threshold))

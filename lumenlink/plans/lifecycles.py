@@ -15,13 +15,16 @@ from lumenlink.sources import tables
 
 def token_records(records: DataFrame) -> DataFrame:
     """Source rows as blocking wants them: id, name (token profile), country, and src if there."""
-    return records.select(*[c for c in ("src",) if c in records.columns], F.col("entity_id").alias("id"), text.name_token(F.col("business_name")).alias("name"), text.country(F.col("country")).alias("country"))
+    made = {"name": text.name_token(F.col("business_name")), "country": text.country(F.col("country"))}
+    return records.select(*[c for c in ("src",) if c in records.columns], F.col("entity_id").alias("id"), text.once(made))
 
 
 def tfidf_records(records: DataFrame) -> DataFrame:
     """id, name (tfidf profile), country and body: name and address, or what there is of them."""
-    out = records.select(*[c for c in ("src",) if c in records.columns], F.col("entity_id").alias("id"), text.name_tfidf(F.col("business_name")).alias("name"), text.address_tfidf(F.col("business_address")).alias("_addr"), text.country(F.col("country")).alias("country"))
-    return out.withColumn("body", text.combined(F.col("name"), F.col("_addr"))).drop("_addr")
+    made = {"name": text.name_tfidf(F.col("business_name")), "country": text.country(F.col("country"))}
+    out = records.select(*[c for c in ("src",) if c in records.columns], F.col("entity_id").alias("id"), "business_address", text.once(made))
+    # the address is used once; with its many rules it would not fit into the generator's method
+    return out.withColumn("body", text.combined(F.col("name"), text.address_tfidf(F.col("business_address")))).drop("business_address")
 
 
 def rich_records(records: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def test_entry(spark):
 
 
 def test_trained_matcher(spark):
-    rows = catalog.gbt_match(spark, "/root/testdata/sf0.001").collect()
+    rows = catalog.gbt_match(spark, SF, iterations=5).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/part.parquet").count()
 
 

@@ -42,9 +42,9 @@ def posteriors(docs: DataFrame, labelled_docs: DataFrame, truth: DataFrame, n_do
     One classifier per domain against the rest; their probabilities are
     normalised. Domains without labels get probability 1e-6 before that.
     """
-    runs, y, weight = toxicity.sample(labelled_docs, truth, SIZES, BITS, max_per_domain)
-    fits = [toxicity.fit(runs, (y == d).astype(float), weight, BITS) if (y == d).any() else (np.zeros(1 << BITS, np.float32), -14.0) for d in range(n_domains)]
-    del runs
+    sample = toxicity.sample(labelled_docs, truth, SIZES, BITS, max_per_domain, n_domains)
+    fits = [toxicity.fit(sample, d, BITS) if (sample.y == d).any() else (np.zeros(1 << BITS, np.float32), -14.0) for d in range(n_domains)]
+    del sample
     common.release()
     shared = docs.sparkSession.sparkContext.broadcast((np.stack([t for t, _ in fits], axis=1), np.array([b for _, b in fits])))
 

@@ -136,12 +136,32 @@ def labelled(labels: DataFrame, label: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max("y").alias("y"))
 
 
+def chosen(truth: DataFrame, max_rows: int, by_class: bool = True) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``max_rows`` rows (doc_id, y) of each class (or of all), those of least id hash; and how many rows each class has.
+
+    A histogram of the hashes tells where to cut, so that no task gets more
+    than the few rows around the limit beyond the sample.
+    """
+    hashed = truth.select("doc_id", "y", F.xxhash64("doc_id").alias("_h"), (F.col("y") if by_class else F.lit(0)).alias("_c"))
+    cells = hashed.groupBy(F.col("_c").alias("y"), F.shiftright("_h", 54).alias("cell")).agg(F.count("*").alias("n")).collect()  # 1,024 rows a class
+    total, last = {}, {}
+    for r in sorted(cells, key=lambda r: (r["y"], r["cell"])):
+        if total.get(r["y"], 0) < max_rows:
+            last[r["y"]] = r["cell"]
+        total[r["y"]] = total.get(r["y"], 0) + r["n"]
+    parts = [hashed.where((F.col("_c") == c) & (F.shiftright("_h", 54) <= cell)).orderBy("_h", "doc_id").limit(max_rows) for c, cell in last.items()]
+    out = hashed.where("false")
+    for p in parts:
+        out = out.unionByName(p)
+    return out.select("doc_id", "y"), total
+
+
 def train(docs: DataFrame, truth: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Trees:
     """Fit on the texts of at most ``max_rows`` labelled ids (doc_id, y), chosen by a hash of the id.
 
     Only statistics reach the driver: max_rows rows of them.
     """
-    sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample, _ = chosen(truth, max_rows, by_class=False)
     src = common.id_and_text(docs).join(F.broadcast(sample), "doc_id")  # max_rows rows
 
     def run(batch):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import os
 import sys
 import tempfile
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. On one machine, where it is not set, a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + os.path.join(tempfile.gettempdir(), f"lumenlink-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -36,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     Unlike checkpoint(), which computes the last stage twice, this computes it
-    once. The tables are deleted when the driver exits.
+    once. The tables are deleted by ``drop`` or when the driver exits.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lumenlink-{name}-{uuid.uuid4().hex}"
@@ -45,9 +48,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         spark._lumenlink_written = []
         atexit.register(drop_materialized, spark)
     spark._lumenlink_written.append(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._lumenlink_path = path
+    del df
+    tidy(spark)
+    return back
+
+
+def tidy(spark: SparkSession) -> None:
+    """Give back what the driver's Python and JVM no longer use; Spark's cleaner then drops shuffles and broadcasts of plans that are gone."""
+    gc.collect()
     release()
-    spark._jvm.System.gc()  # Spark's cleaner drops the shuffles and broadcasts of plans that are gone
-    return spark.read.schema(df.schema).parquet(path)
+    spark._jvm.System.gc()
+    try:
+        beans, name = spark._jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), spark._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        beans.invoke(name, "systemTrimNativeHeap", None, None)
+    except Exception:  # noqa: BLE001  older JVMs have no such command
+        return
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` has returned, when nothing lazy reads it any more."""
+    spark = df.sparkSession
+    _delete(spark, df._lumenlink_path)
+    spark._lumenlink_written.remove(df._lumenlink_path)
 
 
 def drop_materialized(spark: SparkSession) -> None:
@@ -55,8 +84,7 @@ def drop_materialized(spark: SparkSession) -> None:
     while spark._lumenlink_written:
         path = spark._lumenlink_written.pop()
         try:
-            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may have ended: then the folder's owner cleans up
             return
 
@@ -89,7 +117,7 @@ def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str, r
 
     ``f`` returns a dict of columns in the order of ``schema``.
     """
-    names = [x.split()[0] for x in schema.split(",")]
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types: dict[str, pa.DataType] = {}

@@ -300,6 +300,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 SHINGLE = 5
 SKETCH = 8
+DEEP = 16  # least hashes of which a second one is asked for where the first is borne by many
 LANES = 32
 COPY_RADIUS = 310  # of 2,048 bits: so many differ on average where sets of one size are alike to 0.8
 SLACK = 100  # bits more that a pair may differ in to be looked at: six standard deviations
@@ -324,7 +325,7 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * count > len(hashes)).view(np.uint64)
 
 
-def sketches(docs: DataFrame, n_words: int = SHINGLE, size: int = SKETCH) -> DataFrame:
+def sketches(docs: DataFrame, n_words: int = SHINGLE, size: int = DEEP) -> DataFrame:
     """Of every row doc_id, th (text hash), fp (wide SimHash), n (distinct shingle hashes), least (the ``size`` least of these) and node (a hash of the three)."""
 
     def run(batch):
@@ -461,16 +462,24 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
     the buckets; in a bucket the pivot table discards pairs and the survivors'
     fingerprints are compared, with SLACK bits to spare; pairs with a set of
     SMALL shingles or fewer all pass. What these links join is a candidate
-    class, in which the shingle sets themselves decide. In buckets of over ``hot`` rows two shared
-    hashes are asked for (all but 1 in 10,000 such pairs have them). Texts
-    without words are alike.
+    class, in which the shingle sets themselves decide. A hash that more than
+    ``hot`` texts bear makes buckets with each of the DEEP least hashes of its
+    bearers; a pair alike to 0.8 that shares such hashes only lacks a second
+    one in one case of a billion, so what is found does not hang on how many
+    bear a hash. Texts without words are alike.
+
+    Rows alike in id and text count as one document; rows without id have a
+    component_id only if a row of their class has an id; a null text counts as
+    empty; an empty table gives an empty one; other columns are not looked at.
     """
     rows = common.materialize(sketches(docs, n_words), "sketches")
     wanted = ["node", "fp", "n"]
     nodes = rows.groupBy(*wanted, "least").agg(F.min("doc_id").alias("least_id"))
-    keyed = nodes.select(*wanted, "least", F.explode("least").alias("k"))
-    shared = rows.select("node", "least").distinct().select(F.explode("least").alias("k")).groupBy("k").agg(F.count("*").alias("bearers")).where("bearers > 1")
-    kept = keyed.join(shared, "k").select(F.lit(0).cast("long").alias("m"), "k", *wanted, "bearers", F.when(F.col("bearers") > hot, F.col("least")).alias("least"))
+    by_hash = F.posexplode(F.slice("least", 1, SKETCH)).alias("place", "k")
+    keyed = nodes.select(*wanted, "least", by_hash)
+    shared = nodes.select(by_hash).groupBy("k").agg(F.count("*").alias("bearers")).where("bearers > 1")
+    others = F.expr("slice(least, place + 2, size(least))")  # those after k; with one before it, that one's bucket has the pair
+    kept = keyed.join(shared, "k").select(F.lit(0).cast("long").alias("m"), "k", *wanted, "bearers", F.when(F.col("bearers") > hot, others).alias("others"))
     kept = common.materialize(kept, "copies")
 
     def links_in(buckets: DataFrame) -> DataFrame:
@@ -493,8 +502,7 @@ def copy_classes(docs: DataFrame, n_words: int = SHINGLE, radius: int = COPY_RAD
 
     pairs = links_in(kept.where(F.col("bearers") <= hot).select("m", "k", *wanted))
     large = kept.where(F.col("bearers") > hot)
-    # with a lesser hash the bucket of that hash, or its pairs if it is hot, too, has the rows
-    finer = large.select(F.col("k").alias("m"), F.explode(F.expr("filter(least, x -> x > k)")).alias("k"), *wanted)
+    finer = large.select(F.col("k").alias("m"), F.explode("others").alias("k"), *wanted)
     pairs = pairs.unionByName(links_in(finer))
     reach = common.materialize(graph.components(pairs), "candidates")
     grouped = reach.select(F.col("a").alias("node"), F.col("root").alias("group")).unionByName(reach.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())

@@ -176,35 +176,52 @@ def write_tiles(images: DataFrame, id_col: str, image_col: str, path: str, side:
     images_to_tiles(images, id_col, image_col, side).write.parquet(path)
 
 
+def from_tiles(tiles: list[tuple[int, int, bytes]]) -> np.ndarray:
+    """The image that ``npy_tiles`` has cut."""
+    rows: dict[int, list[np.ndarray]] = {}
+    for y, _, npy in tiles:
+        rows.setdefault(y, []).append(np.load(io.BytesIO(npy)))
+    return np.concatenate([np.concatenate(rows[y], axis=1) for y in sorted(rows)])
+
+
 # ---------------------------------------------------------------- texts stored as images
 
 
 def store(payload: bytes) -> bytes:
-    """A P6 image 64 pixels wide whose samples are the payload (a positive multiple of 192 bytes)."""
-    return encode_netpbm(np.frombuffer(payload, np.uint8).reshape(-1, ROW // 3, 3))
+    """An image 64 pixels wide whose samples are the payload (a positive multiple of 192 bytes): P6 or BMP, as the payload's CRC is even or odd."""
+    image = np.frombuffer(payload, np.uint8).reshape(-1, ROW // 3, 3)
+    return encode_bmp(image) if zlib.crc32(payload) & 1 else encode_netpbm(image)
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = False) -> DataFrame:
     """Store every whole text as an image, read it back and summarise it.
 
-    Null counts as the empty text (one row of spaces). Equal texts give equal
-    values; repeated rows are each answered. ``keep_media`` adds the stored
-    image and its first-level NPY tile in the columns media and npy.
+    The stored file is decoded, cut into NPY tiles, and put together from these
+    again: payload_sha256 and tail_crc32 are of what has come back that way.
+    feature is the difference hash and the 8 x 8 thumbnail's grey levels, by
+    area. Null counts as the empty text (one row of spaces). Equal texts give
+    equal values; repeated rows are each answered; an empty table gives an
+    empty one; other columns are not looked at. ``keep_media`` adds the stored
+    image and its tiles in the columns media and tiles.
     """
 
     def run(batch):
-        keys = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"] + ["media", "npy"] * keep_media
+        keys = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_tiles", "tiles_sha256"] + ["media", "tiles"] * keep_media
         out = {k: [] for k in keys}
         for raw in common.utf8(batch):
             media = store(raw + b" " * (-len(raw) % ROW or (0 if raw else ROW)))
             image = decode(media)
-            back = image.tobytes()
-            npy = io.BytesIO()
-            np.save(npy, np.round(area_resize(image, 8, 8)).astype(np.uint8))
-            row = [len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(image)]
-            for k, v in zip(keys, [*row, media, npy.getvalue()], strict=False):
+            tiles = npy_tiles(image)
+            back = from_tiles(tiles).tobytes()
+            written = hashlib.sha256()
+            for _, _, npy in tiles:
+                written.update(npy)
+            grey = np.round(area_resize(image, 8, 8).mean(axis=2)).astype(np.uint8)
+            feature = difference_hash(image) + ":" + grey.tobytes().hex()
+            row = [len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(tiles), written.hexdigest()]
+            for k, v in zip(keys, [*row, media, [npy for _, _, npy in tiles]], strict=False):
                 out[k].append(v)
         return {"doc_id": batch.column("doc_id"), **out}
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return common.map_arrow(common.id_and_text(docs, id_col, text_col), run, schema + (", media binary, npy binary" if keep_media else ""), rows=128)
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_tiles int, tiles_sha256 string"
+    return common.map_arrow(common.id_and_text(docs, id_col, text_col), run, schema + (", media binary, tiles array<binary>" if keep_media else ""), rows=128)

@@ -59,31 +59,44 @@ def name_cells(name: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(name, F.lit("\x00"))), F.lit(1 << bits)).cast("int")
 
 
-def assign_shards(cells: DataFrame, dims: list[str], ties: list[str], n_shards: int, bits: int = BITS) -> DataFrame:
-    """Add ``curve``, ``shard`` (0 .. n_shards - 1) and ``slot`` (gapless from 0 in each shard).
-
-    ``dims`` are integer columns in 0 .. 2**bits - 1 (null counts as 0); rows
-    are sorted by (curve, ties) and cut so that row counts of shards differ by
-    one at most. Rows alike in all of these are dealt in any order. An empty
-    input gives an empty output. Only one count per partition reaches the
-    driver.
+_TABLE_BITS = 18  # a curve table of at most 2**18 cells goes to every task
+
+
+def curve_index(cells: DataFrame, dims: list[Column], bits: int = BITS) -> DataFrame:
+    """The columns of ``cells`` in a struct ``row``, its grid cell ``_cell`` and the cell's place ``curve`` on the Hilbert curve.
+
+    The curve is computed once per cell that occurs, so rows (with whole texts,
+    it may be) do not pass through Python.
     """
-    kept = [c for c in cells.columns if c not in ("curve", "shard", "slot")]
+    top, n = (1 << bits) - 1, len(dims)
+    cell = F.array(*[F.coalesce(F.least(F.greatest(d.cast("int"), F.lit(0)), F.lit(top)), F.lit(0)) for d in dims])
+    rows = cells.select(F.struct(*[F.col(f"`{c}`") for c in cells.columns]).alias("row"), cell.alias("_cell"))
 
-    def with_curve(batches):
-        import pyarrow as pa
+    def curve_of(batch):
+        coords = np.array(batch.column("_cell").to_pylist(), np.int64).reshape(-1, n).T
+        return {"_cell": batch.column("_cell"), "curve": hilbert_index(coords, bits).astype(np.int64)}
 
-        for b in batches:
-            coords = np.stack([np.nan_to_num(b.column(d).to_numpy(zero_copy_only=False)).astype(np.int64) for d in dims]) if b.num_rows else np.zeros((len(dims), 0))
-            curve = hilbert_index(np.clip(coords, 0, (1 << bits) - 1), bits).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(curve)], names=[*b.schema.names, "curve"])
+    table = common.map_arrow(rows.select("_cell").distinct(), curve_of, "_cell array<int>, curve long", rows=8192)
+    return rows.join(F.broadcast(table) if n * bits <= _TABLE_BITS else table, "_cell")
 
-    curved = cells.select(*kept).mapInArrow(with_curve, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.select(*kept).schema) + ", curve long")
-    curved = common.materialize(curved, "curve")
-    n_parts = max(1, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = ["curve", *ties]
+
+def assign_shards(cells: DataFrame, dims: list[Column], ties: list[Column], n_shards: int, bits: int = BITS) -> DataFrame:
+    """``row`` (a struct of all columns of ``cells``), ``curve``, ``shard`` (0 .. n_shards - 1) and ``slot`` (gapless from 0 in each shard).
+
+    ``dims`` are integer expressions in 0 .. 2**bits - 1 (null counts as 0,
+    values beyond as the nearest); rows are sorted by (curve, ties) and cut so
+    that row counts of shards differ by one at most. Rows alike in all of these
+    are dealt in any order, each to a slot of its own. An empty input gives an
+    empty output; the columns' names do not matter, as they are in the struct.
+    Only one count per partition reaches the driver. Shards lie one after
+    another in the written run, so writing them needs no further shuffle.
+    """
+    spark = cells.sparkSession
+    curved = curve_index(cells, dims, bits)
+    keys = [F.col("curve"), *ties]
+    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # the sorted run, with its partition and place in it fixed by being written
-    run = curved.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    run = curved.select("row", "curve").repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     run = common.materialize(run, "run")
     part = F.shiftright("_at", 33).cast("int")
     counts = sorted((r["p"], r["n"]) for r in run.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
@@ -91,58 +104,71 @@ def assign_shards(cells: DataFrame, dims: list[str], ties: list[str], n_shards:
     for p, n in counts:
         starts[p] = start
         start += n
-    total = start
-    spark = cells.sparkSession
     offsets = F.broadcast(spark.createDataFrame([(p, s) for p, s in starts.items()] or [(0, 0)], "_p int, _start long"))  # a row per partition
-    rank = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
-    ranked = run.withColumn("_p", part).join(offsets, "_p").withColumn("_rank", rank)
-    small, extra = divmod(total, n_shards)  # the first `extra` shards hold one row more
+    ranked = run.withColumn("_p", part).join(offsets, "_p").withColumn("_rank", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
+    small, extra = divmod(start, n_shards)  # the first `extra` shards hold one row more
     cut = extra * (small + 1)
     shard = F.when(F.col("_rank") < cut, F.expr(f"_rank div {small + 1}")).otherwise(F.expr(f"{extra} + (_rank - {cut}) div {max(1, small)}"))
     slot = F.when(F.col("_rank") < cut, F.expr(f"_rank % {small + 1}")).otherwise(F.expr(f"(_rank - {cut}) % {max(1, small)}"))
-    return ranked.withColumn("shard", shard.cast("int")).withColumn("slot", slot.cast("long")).select(*kept, "curve", "shard", "slot")
+    return ranked.select("row", "curve", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+
+
+def _dims(row: str = "") -> list[Column]:
+    """lang, source and size of rows of ``documents`` (in the struct ``row``) as grid coordinates."""
+    return [name_cells(F.col(row + "lang").cast("string"), BITS), name_cells(F.col(row + "source").cast("string"), BITS), log_cells(text_size(row), BITS)]
+
+
+def text_size(row: str = "") -> Column:
+    return (F.octet_length(F.coalesce(F.col(row + "text").cast("string"), F.lit(""))) + 16).cast("long")
 
 
-def document_cells(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """The metadata of ``documents`` and its quantised dimensions; texts are measured, not kept.
+def text_crc(row: str = "") -> Column:
+    return F.crc32(F.coalesce(F.col(row + "text").cast("string"), F.lit("")).cast("binary")).cast("long")
+
+
+def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
+    """doc_id, lang, source, size, text_crc32, curve, shard and slot of every row of ``documents``; texts are measured, not kept.
 
     Null texts have no bytes, null lang and source are categories of their own,
-    a null doc_id sorts first.
+    a null doc_id sorts first. Other columns are not looked at.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
-        (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        text_size().alias("size"),
+        text_crc().alias("text_crc32"),
     )
-    return base.select(
-        "*",
-        name_cells(F.col("lang"), bits).alias("_lang"),
-        name_cells(F.col("source"), bits).alias("_source"),
-        log_cells(F.col("size"), bits).alias("_size"),
-    )
-
-
-def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
-    """doc_id, lang, source, size, text_crc32, curve, shard and slot of every row of ``documents``."""
-    return assign_shards(document_cells(docs), ["_lang", "_source", "_size"], ["doc_id", "text_crc32"], n_shards).drop("_lang", "_source", "_size")
+    dims = [name_cells(F.col("lang"), BITS), name_cells(F.col("source"), BITS), log_cells(F.col("size"), BITS)]
+    out = assign_shards(base, dims, [F.col("row.doc_id"), F.col("row.text_crc32")], n_shards)
+    return out.select("row.*", "curve", "shard", "slot")
 
 
 def manifest(sharded: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows and the least and greatest value of each column per shard: what a reader prunes files by."""
+    """Rows and the least and greatest value of each column per shard: what a reader prunes files by.
+
+    Nulls do not count as values; a column of nulls only has null bounds; no
+    rows give no shards.
+    """
     aggs = [F.count("*").alias("rows")]
     for c in columns:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     return sharded.groupBy("shard").agg(*aggs)
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = 40) -> None:
-    """Write the whole rows of ``docs`` as one folder per shard, sorted by slot."""
-    placed = shard_documents(docs, n_shards).select("doc_id", "text_crc32", "shard", "slot")
-    crc = F.crc32(F.coalesce(docs["text"], F.lit("")).cast("binary")).cast("long")
-    keyed = docs.withColumn("_crc", crc).alias("d")
-    p = placed.dropDuplicates(["doc_id", "text_crc32"]).alias("p")
-    out = keyed.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._crc") == F.col("p.text_crc32")))
-    out.select("d.*", "p.shard", "p.slot").drop("_crc").repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, n_shards: int = 40) -> tuple[str, str]:
+    """Write the whole rows of ``docs`` as one folder per shard, sorted by slot; returns the names of the shard and slot columns.
+
+    These are shard and slot, with underscores behind them where ``docs`` has
+    such columns. Every row is written once: rows alike get slots of their own,
+    an empty table gives an empty folder. Rows go through one shuffle, with
+    their texts, and shards are cut from the sorted run as it lies.
+    """
+    shard, slot = "shard", "slot"
+    while shard in docs.columns:
+        shard += "_"
+    while slot in docs.columns:
+        slot += "_"
+    placed = assign_shards(docs, _dims(), [F.col("row.doc_id").cast("long"), text_crc("row.")], n_shards)
+    placed.select("row.*", F.col("shard").alias(shard), F.col("slot").alias(slot)).write.partitionBy(shard).parquet(path)
+    return shard, slot

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenlink.llm import common, queries, sharding
 
@@ -28,6 +29,49 @@ def check(rows, docs, n_shards=40):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
+def slow_curve(point, bits):
+    """Place on the curve by walking the cube from the largest octant down: rotate and reflect as Skilling's axes do, in plain loops."""
+    x, n = list(point), len(point)
+    q = 1 << (bits - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    q = 1 << (bits - 1)
+    while q > 1:
+        if x[n - 1] & q:
+            t ^= q - 1
+        q >>= 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_query_is_brute_force(spark, sf):
+    """Every row's shard and slot: cells in plain Python (but for Spark's hash), one sort, forty cuts."""
+    docs = common.table(spark, sf, "documents")
+    cells = {r[0]: tuple(r)[1:] for r in docs.select("doc_id", sharding.name_cells(F.col("lang"), 6), sharding.name_cells(F.col("source"), 6)).collect()}
+    rows = []
+    for d in docs.collect():
+        raw = (d.text or "").encode()
+        size = len(raw) + 16
+        rows.append((slow_curve((*cells[d.doc_id], min(63, int(np.floor(np.log2(size) * 2.5)))), 6), d.doc_id, zlib.crc32(raw)))
+    rows.sort()
+    small, extra = divmod(len(rows), 40)
+    want, at = {}, 0
+    for shard in range(40):
+        for slot in range(small + (shard < extra)):
+            want[rows[at][1]] = (shard, slot)
+            at += 1
+    assert {r.doc_id: (r.shard, r.slot) for r in queries.op10_sharding(spark, sf).collect()} == want
+
+
 def test_query_law(spark, sf):
     rows = queries.op10_sharding(spark, sf).collect()
     check(rows, common.table(spark, sf, "documents").collect())
@@ -52,9 +96,20 @@ def test_shards_follow_the_curve_and_prune(spark):
     assert spread < 0.8 * np.log2(max(all_sizes) / min(all_sizes))
 
 
-def test_written_shards_hold_whole_rows(awkward, tmp_path, spark):
-    path = f"file://{tmp_path}/shards"
-    sharding.write_shards(awkward, path, 5)
-    back = spark.read.parquet(path)
-    assert back.count() == awkward.count()
-    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter((r.doc_id, r.text) for r in awkward.collect())
+def test_written_shards_hold_whole_rows(awkward, nothing, tmp_path, spark):
+    """Clashing names, repeated rows, nulls; each shard's rows in one run of gapless slots."""
+    clash = awkward.withColumns({"shard": F.lit("mine"), "slot": F.col("doc_id"), "_crc": F.lit(1), "curve": F.lit("c"), "row": F.lit("r"), "_cell": F.lit(0)})
+    for k, docs in enumerate((awkward, clash)):
+        path = f"file://{tmp_path}/shards{k}"
+        shard, slot = sharding.write_shards(docs, path, 5)
+        assert (shard, slot) == (("shard", "slot"), ("shard_", "slot_"))[k]
+        back = spark.read.parquet(path)
+        rows = back.collect()
+        assert Counter(tuple(r[c] for c in docs.columns) for r in rows) == Counter(tuple(r) for r in docs.collect())
+        slots = defaultdict(list)
+        for r in rows:
+            slots[r[shard]].append(r[slot])
+        assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and len(slots) == 5
+    sharding.write_shards(nothing, f"file://{tmp_path}/none", 5)
+    assert not list((tmp_path / "none").glob("shard=*"))
+    assert sharding.manifest(sharding.shard_documents(nothing), ["size"]).collect() == []

@@ -15,14 +15,13 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else.
 * Covered bytes are put together per distinct text. Texts that occur more than
   once repeat as a whole, if they have LENGTH bytes.
 
-Texts travel as zstd frames. Texts are known by a 64-bit hash, segments by 128
+Texts travel as zstd frames. Texts are known by a 128-bit hash, segments by 128
 bits more than their key.
 """
 
 from __future__ import annotations
 
 import hashlib
-import struct
 import tempfile
 
 import numpy as np
@@ -115,7 +114,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, length: int, keys_only:
         raw = common.utf8(batch)
         return {
             "doc_id": batch.column("doc_id"),
-            "key": pa.array([struct.unpack("<q", xxhash.xxh3_64_digest(t))[0] for t in raw]),
+            "key": pa.array([xxhash.xxh3_128_digest(t) for t in raw], pa.binary()),
             "n_bytes": pa.array([len(t) for t in raw], pa.int64()),
             "whole": pa.array([hashlib.sha256(t).hexdigest() for t in raw], pa.string()),
         }
@@ -123,30 +122,34 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, length: int, keys_only:
     def frames(batch):
         pack = zstandard.ZstdCompressor(level=1).compress
         raw = [t for t in common.utf8(batch) if len(t) >= length]
-        return {"key": pa.array([struct.unpack("<q", xxhash.xxh3_64_digest(t))[0] for t in raw], pa.int64()), "z": pa.array([pack(t) for t in raw], pa.binary())}
+        return {"key": pa.array([xxhash.xxh3_128_digest(t) for t in raw], pa.binary()), "z": pa.array([pack(t) for t in raw], pa.binary())}
 
     src = common.id_and_text(docs, id_col, text_col)
     if keys_only:
-        return common.map_arrow(src, facts, "doc_id long, key long, n_bytes long, whole string")
-    return common.map_arrow(src.select("text"), frames, "key long, z binary")
+        return common.map_arrow(src, facts, "doc_id long, key binary, n_bytes long, whole string")
+    return common.map_arrow(src.select("text"), frames, "key binary, z binary")
 
 
 def _anchors(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """a (segment key), key (text), lo, hi, twice: the segments of every row."""
 
     def run(batch):
-        cols: list[list] = [[], [], [], [], []]
+        cols: list[list] = [[], [], [], []]
+        keys, of = [], []
         for t in common.utf8(batch):
             if len(t) < length:
                 continue
-            a, lo, hi, twice = segments(t, length)
-            for c, v in zip(cols, (a, np.full(len(a), struct.unpack("<q", xxhash.xxh3_64_digest(t))[0]), lo, hi, twice), strict=True):
+            found = segments(t, length)
+            keys.append(xxhash.xxh3_128_digest(t))
+            of.append(len(found[0]))
+            for c, v in zip(cols, found, strict=True):
                 c.append(v)
-        a, key, lo, hi, twice = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)
-        return {"a": pa.array(a, pa.int64()), "key": pa.array(key, pa.int64()), "lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64()), "twice": pa.array(twice.astype(bool))}
+        a, lo, hi, twice = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)
+        key = pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(of)), of)))
+        return {"a": pa.array(a, pa.int64()), "key": key, "lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64()), "twice": pa.array(twice.astype(bool))}
 
     src = docs.select(F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    return common.map_arrow(src, run, "a long, key long, lo long, hi long, twice boolean")
+    return common.map_arrow(src, run, "a long, key binary, lo long, hi long, twice boolean")
 
 
 def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LENGTH, max_tuples: int = 1 << 22) -> DataFrame:
@@ -176,11 +179,11 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
                         piece = t[g["lo"] : g["hi"] + length]
                         rows.append((g["a"], xxhash.xxh3_128_digest(piece), key, g["lo"], g["hi"], g["twice"], piece))
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
-                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["a", "s", "key", "lo", "hi", "twice", "piece"])
         common.release()
 
-    pieces = frames.join(wanted, "key").select("key", "z", "segs").mapInArrow(cut, "a long, s binary, key long, lo long, hi long, twice boolean, piece binary")
+    pieces = frames.join(wanted, "key").select("key", "z", "segs").mapInArrow(cut, "a long, s binary, key binary, lo long, hi long, twice boolean, piece binary")
     pieces = common.materialize(pieces, "pieces")
     kinds = pieces.groupBy("a", "s").agg(F.min(where).alias("x"), F.max(where).alias("y"), F.max("twice").alias("twice"), F.first("piece").alias("piece"))
     kinds = kinds.select("a", "s", F.col("x.key").alias("key"), F.col("x.lo").alias("lo"), (F.col("x") != F.col("y")).alias("many"), "twice", "piece")
@@ -195,7 +198,7 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
                         for s, e in zip(*_runs(flags), strict=True):
                             res.append((key, lo + int(s), lo + int(e) + length))
             cols = list(zip(*res, strict=True)) or [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["key", "s", "e"])
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["key", "s", "e"])
 
         group: list[tuple] = []  # the segments of one key
         shard: list[tuple] = []  # of whole keys
@@ -221,7 +224,7 @@ def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LE
             yield out(shard)
         common.release()
 
-    sorted_out = kinds.select("a", "key", "lo", "many", "twice", "piece").repartition(n, "a").sortWithinPartitions("a").mapInArrow(sort, "key long, s long, e long")
+    sorted_out = kinds.select("a", "key", "lo", "many", "twice", "piece").repartition(n, "a").sortWithinPartitions("a").mapInArrow(sort, "key binary, s long, e long")
     same = pieces.select("a", "s", "key", "lo", "hi").join(kinds.where("many").select("a", "s"), ["a", "s"])
     return sorted_out.unionByName(same.select("key", F.col("lo").alias("s"), (F.col("hi") + length).alias("e")))
 
@@ -262,7 +265,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                 out[k].append(v)
         return out
 
-    done = common.map_arrow(frames.join(single, "key").select("key", "z", "spans"), take_out, "key long, n_removed long, n_spans long, kept_sha256 string, kept binary", rows=64)
+    done = common.map_arrow(frames.join(single, "key").select("key", "z", "spans"), take_out, "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary", rows=64)
     joined = rows.join(copies, "key", "left").join(done if keep_text else done.drop("kept"), "key", "left")
     nothing = hashlib.sha256(b"").hexdigest()
     out = joined.select(

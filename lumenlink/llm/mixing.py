@@ -141,7 +141,12 @@ def rate_documents(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame,
 
 
 def mix(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """The rows of ``docs`` (all columns), each as many times as its ``copies``; rows with none go."""
+    """The rows of ``docs`` (all columns), each as many times as its ``copies``; rows with none go.
+
+    Rows alike in id and text get the same number each, be their other columns
+    alike or not; null ids and null texts are matched as such; columns of any
+    name are kept; an empty table gives an empty one.
+    """
     copies = rate_documents(docs, labelled_docs, labels, targets).select("doc_id", F.col("h").alias("th"), "copies").distinct()
     joined = common.with_facts(docs, copies).where("copies > 0")
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -177,6 +177,7 @@ def train(docs: DataFrame, truth: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
 
 def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every row's whole text; null counts as empty; repeated rows are each answered."""
+
     def run(batch):
         return {"doc_id": batch.column("doc_id"), "score": pa.array(trees.score(matrix(common.utf8(batch))))}
 
@@ -191,7 +192,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
 
 
 def keep_good(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text scores ``threshold`` or more; trained on ``labelled_docs``."""
+    """The rows of ``docs`` (all columns) whose text scores ``threshold`` or more; trained on ``labelled_docs``.
+
+    Null texts count as empty and stay null; repeated rows stay or go alike;
+    without labels every score is 0.5, so all stay; an empty table gives an
+    empty one.
+    """
     truth = labelled(labels, "quality").where(fold(F.col("doc_id"), 3) != 1)
     trees = train(labelled_docs, truth)
     at = docs.columns.index("text")

@@ -1,9 +1,11 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from lumenlink.llm import common, mixing, quality, toxicity
+from lumenlink.llm import common, mixing, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -78,9 +80,124 @@ def test_quality_filter_keeps_good_rows(spark, awkward):
     assert quality.keep_good(awkward, docs, labels).columns == awkward.columns
 
 
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_rows(spark, label, parts, held):
+    """Texts by id, and the labelled ids outside the fold with their label, in plain Python."""
+    texts = {r.doc_id: (r.text or "").encode() for r in common.table(spark, SMALL, "documents").collect()}
+    truth = {r.doc_id: r[label] for r in common.table(spark, SMALL, "labels").collect() if zlib.crc32(str(r.doc_id).encode()) % parts != held and r.doc_id in texts}
+    return texts, dict(sorted(truth.items()))
+
+
+def test_quality_query_is_brute_force(spark):
+    texts, truth = plain_rows(spark, "quality", 3, 1)
+    trees = quality.fit(np.array([quality.statistics(texts[i]) for i in truth]), np.array(list(truth.values()), float))
+    for r in queries.op2_quality(spark, SMALL).collect():
+        x, total = quality.statistics(texts[r.doc_id]), trees.base
+        for f, t, v in zip(trees.feature, trees.threshold, trees.value, strict=True):
+            at = 0
+            while at < len(f):
+                at = 2 * at + (2 if x[f[at]] > t[at] else 1)
+            total += v[at - len(f)]
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9 and r.predicted == (r.score >= 0.5)
+
+
+def plain_grams(text, sizes, bits):
+    """Distinct hashed n-grams of words with a blank at either end, one at a time."""
+    clean, out = b" " + b" ".join(text.lower().split()) + b" ", set()
+    for n in sizes:
+        for i in range(len(clean) - n + 1):
+            g = clean[i : i + n]
+            if b" " not in g[1:-1]:
+                h = sum(c * toxicity._MULT[k] for k, c in enumerate(g)) % 2**32
+                out.add((h ^ h >> 15) * (0x2C1B3C6D + 2 * n) % 2**32 >> 32 - bits)
+    return out
+
+
+def plain_fit(grams, y, weight, bits, ridge=0.5):
+    """Log-count ratios and ridge logistic regression on a dense matrix, by plain gradient steps until nothing moves."""
+    n = len(y)
+    total, counts = weight.sum(), [Counter(), Counter()]
+    for g, label in zip(grams, y, strict=True):
+        counts[int(label)].update(g)
+    ratio = {g: math.log((counts[1][g] + 1) / (y.sum() + 2)) - math.log((counts[0][g] + 1) / (n - y.sum() + 2)) for g in set(counts[0]) | set(counts[1]) if counts[0][g] + counts[1][g] >= 3}
+    used = sorted(g for g, r in ratio.items() if abs(r) > 1)
+    x = np.array([[ratio[g] if g in own else 0.0 for g in used] for own in grams]).reshape(n, len(used))
+    scale = weight * n / total
+    w, b = np.zeros(len(used)), math.log((weight @ y + 0.5) / (total - weight @ y + 0.5))
+    step = 1 / (0.25 * np.linalg.norm(np.sqrt(scale)[:, None] * np.c_[x, np.ones(n)], 2) ** 2 + ridge)
+    v = np.r_[w, b]
+    ahead, momentum = v.copy(), 1.0
+    for _ in range(4000):
+        e = scale * (1 / (1 + np.exp(-(x @ ahead[:-1] + ahead[-1]))) - y)
+        new = ahead - step * np.r_[x.T @ e + ridge * ahead[:-1], e.sum()]
+        turn = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
+        ahead, v, momentum = new + (momentum - 1) / turn * (new - v), new, turn
+    return {g: ratio[g] * a for g, a in zip(used, v[:-1], strict=True)}, v[-1]
+
+
+def test_toxicity_query_is_brute_force(spark):
+    texts, truth = plain_rows(spark, "toxic", 4, 2)
+    grams = {i: plain_grams(t, toxicity.SIZES, toxicity.BITS) for i, t in texts.items()}
+    y = np.array(list(truth.values()), float)
+    table, bias = plain_fit([grams[i] for i in truth], y, np.ones(len(y)), toxicity.BITS)
+    for r in queries.op4_toxicity(spark, SMALL).collect():
+        z = bias + sum(table.get(g, 0.0) for g in grams[r.doc_id])
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 0.02 and r.predicted == (r.score >= 0.3)
+
+
+def test_grams_across_the_seam_of_blocks(monkeypatch):
+    text = " ".join(f"w{k}rd" for k in range(400)).encode()
+    whole = set(toxicity.Grams().ids(text).tolist())
+    assert whole == plain_grams(text, toxicity.SIZES, toxicity.BITS)
+    monkeypatch.setattr(toxicity, "_BLOCK", 97)
+    parts = toxicity.Grams().ids(text).tolist()
+    assert set(parts) == whole and len(parts) == len(whole)
+
+
+def test_filters_of_empty_tables(spark, nothing):
+    labels = common.table(spark, SMALL, "labels")
+    assert quality.keep_good(nothing, common.table(spark, SMALL, "documents"), labels).collect() == []
+    assert quality.keep_good(nothing, nothing, labels).collect() == []
+
+
+def test_sample_is_bounded_by_class(spark):
+    truth = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(5000)], "doc_id long, y int")
+    rows, counts = quality.chosen(truth, 700)
+    got = rows.collect()
+    assert counts == {0: 4500, 1: 500} and Counter(r.y for r in got) == {0: 700, 1: 500} and len({r.doc_id for r in got}) == 1200
+    rows, _ = quality.chosen(truth, 700, by_class=False)
+    assert rows.count() == 700 and quality.chosen(truth.where("false"), 700)[0].count() == 0
+
+
 # ---------------------------------------------------------------- mixing
 
 
+def test_mixing_query_is_brute_force(spark):
+    """Posteriors from plain fits, rates from a loop on one machine: the query's rows."""
+    texts = {r.doc_id: (r.text or "").encode() for r in common.table(spark, SMALL, "documents").collect()}
+    truth = {r.doc_id: 2 if r.toxic else 1 if not r.quality else 0 for r in common.table(spark, SMALL, "labels").collect() if r.doc_id in texts}
+    truth, grams = dict(sorted(truth.items())), {i: plain_grams(t, mixing.SIZES, mixing.BITS) for i, t in texts.items()}
+    y, fits = np.array(list(truth.values())), []
+    for d in range(3):
+        fits.append(plain_fit([grams[i] for i in truth], (y == d).astype(float), np.ones(len(y)), mixing.BITS))
+    rows = {r.doc_id: r for r in queries.op8_mixing(spark, SMALL).collect()}
+    ids = sorted(texts)
+    q = np.array([[max(1 / (1 + math.exp(-min(30, max(-30, b + sum(t.get(g, 0.0) for g in grams[i]))))), 1e-6) for t, b in fits] for i in ids])
+    p, tokens = q / q.sum(axis=1, keepdims=True), np.array([len(texts[i].split()) for i in ids], float)
+    assert [rows[i].tokens for i in ids] == tokens.tolist()
+    own = np.array([[rows[i].p_clean, rows[i].p_low, rows[i].p_toxic] for i in ids])
+    assert np.abs(own - p).max() < 0.03
+    p = own  # from here on exactly
+    goal, gram = np.array([queries.MIX[d] for d in mixing.DOMAINS]) * (tokens @ p) / tokens.sum(), (p * tokens[:, None]).T @ p / tokens.sum()
+    rate = np.ones(len(ids))
+    for _ in range(40):
+        rate = np.maximum(0, rate - p @ np.linalg.solve(gram, (rate * tokens) @ p / tokens.sum() - goal))
+    assert np.allclose([rows[i].rate for i in ids], rate, atol=1e-3)
+    assert all(rows[i].copies in (math.floor(rows[i].rate), math.floor(rows[i].rate) + 1) for i in ids)
+
+
 def test_rates_meet_the_targets(spark):
     docs, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
     targets = {"clean": 1.1, "low": 0.3, "toxic": 0.2}

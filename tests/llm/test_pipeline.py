@@ -28,6 +28,19 @@ def test_stages(spark):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_stages_of_awkward_and_empty_tables(spark, awkward, nothing):
+    """Nulls, repeats and clashing names go through all stages; no rows stay none."""
+    sf = "/root/testdata/sf0.001"
+    for docs in (awkward, nothing):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = common.materialize(stage(spark, docs, sf), "stage")
+            assert docs.columns == columns, name
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+        assert out.count() == docs.count()
+    assert out.count() == 0
+
+
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
 

@@ -28,7 +28,7 @@ class DiskRuns:
         self.folder, self.max_tuples = folder, max_tuples
         self.runs: list[list] = [[] for _ in range(256)]
         self.size = [0] * 256
-        self.held = 0
+        self.held = self.spilled = 0
 
     def push(self, symbol: int, pos: np.ndarray, lcp: np.ndarray) -> None:
         self.runs[symbol].append((pos, lcp))
@@ -38,18 +38,15 @@ class DiskRuns:
             self._spill(max(range(256), key=self.size.__getitem__))
 
     def _spill(self, symbol: int) -> None:
-        out = []
-        for run in self.runs[symbol]:
-            if isinstance(run, tuple):
-                f = tempfile.TemporaryFile(dir=self.folder)
-                np.save(f, run[0])
-                np.save(f, run[1])
-                out.append(f)
-            else:
-                out.append(run)
-        self.runs[symbol] = out
+        """What memory holds of a symbol becomes one file behind its earlier ones."""
+        held = [run for run in self.runs[symbol] if isinstance(run, tuple)]
+        f = tempfile.TemporaryFile(dir=self.folder)
+        for part in zip(*held, strict=True):
+            np.save(f, np.concatenate(part))
+        self.runs[symbol] = [run for run in self.runs[symbol] if not isinstance(run, tuple)] + [f]
         self.held -= self.size[symbol]
         self.size[symbol] = 0
+        self.spilled += 1
 
     def pop(self, symbol: int) -> tuple[np.ndarray, np.ndarray]:
         """All tuples of a symbol, in the order of arrival."""
@@ -57,7 +54,8 @@ class DiskRuns:
         for run in self.runs[symbol]:
             if not isinstance(run, tuple):
                 run.seek(0)
-                run = (np.load(run), np.load(run))  # noqa: PLW2901
+                with run as f:
+                    run = (np.load(f), np.load(f))  # noqa: PLW2901
             pos.append(run[0])
             lcp.append(run[1])
         self.held -= self.size[symbol]

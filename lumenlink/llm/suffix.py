@@ -37,6 +37,7 @@ from .induced import Sorter
 LENGTH = 200
 Q = 32  # a power of two
 SHARD_BYTES = 3 << 20  # a shard's segments are sorted in groups of whole keys of about this many bytes
+MAX_TUPLES = 1 << 19  # that a queue holds in memory: the rest of a shard's millions is on disk
 _BLOCK = 1 << 20
 
 
@@ -152,7 +153,7 @@ def _anchors(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     return common.map_arrow(src, run, "a long, key binary, lo long, hi long, twice boolean")
 
 
-def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LENGTH, max_tuples: int = 1 << 22) -> DataFrame:
+def repeated_intervals(docs: DataFrame, text_col: str = "text", length: int = LENGTH, max_tuples: int = MAX_TUPLES) -> DataFrame:
     """key, s, e: byte intervals [s, e) of each distinct text that repeated strings cover (not merged).
 
     Copies of a text count once here.

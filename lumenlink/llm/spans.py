@@ -137,6 +137,7 @@ def later_spans(docs: DataFrame) -> DataFrame:
     every = common.materialize(_spans_of(docs), "spans")
     shared = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     found = common.materialize(every.join(shared, "h"), "shared")  # most spans have no equal: only their hashes are counted
+    common.drop(every)
     first = found.groupBy("h").agg(F.min(F.struct("doc_id", "th", "at")).alias("f"), F.count("*").alias("n")).where("n > 1").select("h", "f")
     joined = found.join(first, "h")
     later = joined.where(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("th") == F.col("f.th"))))

@@ -25,10 +25,16 @@ def with_name_id(records: DataFrame) -> DataFrame:
     return records.withColumn("name_id", F.coalesce(F.unhex(F.md5(known.cast("binary"))), F.lit(b"")))  # never null, so nothing asks for that
 
 
+def _named(records: DataFrame) -> DataFrame:
+    """The records with a name, and their name_id; names are evaluated once a row."""
+    keys = [c for c in ("src", "id") if c in records.columns]
+    return with_name_id(records.select(*keys, text.once({"name": F.col("name"), "country": F.col("country")})).where("name <> ''"))
+
+
 def exact_pairs(queries: DataFrame, targets: DataFrame) -> DataFrame:
     """query_id, src, target_id of records with equal, non-empty names and equal countries."""
-    q = with_name_id(queries.where("name <> ''")).select(F.col("id").alias("query_id"), "name_id")
-    t = with_name_id(targets.where("name <> ''")).select("src", F.col("id").alias("target_id"), "name_id")
+    q = _named(queries).select(F.col("id").alias("query_id"), "name_id")
+    t = _named(targets).select("src", F.col("id").alias("target_id"), "name_id")
     return q.join(t, "name_id").select("query_id", "src", "target_id")
 
 
@@ -38,8 +44,8 @@ def exact_links(queries: DataFrame, targets: DataFrame) -> DataFrame:
     What ``exact_pairs`` tells, without spelling out the pairs within a name.
     Queries without such a target are not in it.
     """
-    t = with_name_id(targets.where("name <> ''")).groupBy("name_id").agg(F.min(F.struct("src", "id")).alias("first"), F.count("*").alias("links"))
-    q = with_name_id(queries.where("name <> ''")).select(F.col("id").alias("query_id"), "name_id")
+    t = _named(targets).groupBy("name_id").agg(F.min(F.struct("src", "id")).alias("first"), F.count("*").alias("links"))
+    q = _named(queries).select(F.col("id").alias("query_id"), "name_id")
     return q.join(t, "name_id").select("query_id", "first.src", F.col("first.id").alias("target_id"), "links")
 
 

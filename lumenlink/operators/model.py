@@ -56,6 +56,12 @@ def split_stats(sided: DataFrame, label: str = "is_match") -> DataFrame:
 
 
 EARLY_STOP_ROWS = 10_000  # with more training rows a tenth of them tells when to stop
+CELL_ROWS = 50_000  # a task's, at least: each tree takes some ten jobs
+
+
+def cells(pairs: DataFrame, features: tuple[str, ...] = schema.FEATURE_COLUMNS, label: str = "is_match") -> DataFrame:
+    """features, label, n: how many pairs are alike in these. Weighed by n they make the same trees as the pairs."""
+    return pairs.groupBy(*features, label).agg(F.count("*").alias("n"))
 
 
 def fit(train: DataFrame, features: tuple[str, ...] = schema.FEATURE_COLUMNS, iterations: int = 200, seed: int = 42) -> PipelineModel:
@@ -63,11 +69,21 @@ def fit(train: DataFrame, features: tuple[str, ...] = schema.FEATURE_COLUMNS, it
 
     With more than EARLY_STOP_ROWS rows, a tenth of them by hash is held out
     and boosting ends where its loss does not fall any more; ``iterations``
-    is the most there can be.
+    is the most there can be. All pairs count, those alike in features and
+    label as one row with their number as weight.
     """
-    known = evaluate.class_weights(train).first()
-    weight, rows = known["weight"] or 1.0, known["positives"] + known["negatives"]
-    weighted = train.withColumn("weight", F.when(F.col("is_match") == 1, weight).otherwise(1.0)).withColumn("label", F.col("is_match").cast("double"))
+    alike = cells(train, features).persist()
+    try:
+        return _boost(alike, features, iterations, seed)
+    finally:
+        alike.unpersist()
+
+
+def _boost(alike: DataFrame, features: tuple[str, ...], iterations: int, seed: int) -> PipelineModel:
+    known = alike.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("is_match") == 1, F.col("n"))), F.lit(0)).alias("positives"), F.count("*").alias("cells")).first()
+    weight, rows = (known["rows"] - known["positives"]) / max(known["positives"], 1) or 1.0, known["rows"]
+    weighted = alike.coalesce(-(-known["cells"] // CELL_ROWS) or 1)
+    weighted = weighted.withColumn("weight", F.col("n") * F.when(F.col("is_match") == 1, weight).otherwise(1.0)).withColumn("label", F.col("is_match").cast("double"))
     trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=iterations, maxDepth=5, stepSize=0.05, maxBins=255, seed=seed, maxMemoryInMB=1024)
     if rows > EARLY_STOP_ROWS:
         weighted = weighted.withColumn("held_out", F.pmod(F.xxhash64(*features, F.lit(seed)), F.lit(10)) == 0)

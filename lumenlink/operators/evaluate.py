@@ -39,14 +39,16 @@ def f_beta(p: Column, r: Column, beta: float = 0.5) -> Column:
     return F.when(below > 0, F.lit(1 + b) * p * r / below).otherwise(0.0)
 
 
-def pr_curve(scored: DataFrame, score: str = "score", label: str = "is_match") -> DataFrame:
+def pr_curve(scored: DataFrame, score: str = "score", label: str = "is_match", n: str | None = None) -> DataFrame:
     """threshold, precision, recall, f05 for each distinct score (precision and recall of score >= threshold).
 
     Cumulative counts run over distinct scores in two steps, so that no task
     gets them all: a total per range of scores, then running sums in it. Scores
-    outside 0 to 1 share the ranges at the ends.
+    outside 0 to 1 share the ranges at the ends. ``n`` names the number of
+    pairs that a row stands for (one without it).
     """
-    at = scored.groupBy(F.col(score).alias("threshold")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
+    pairs = (F.col(n) if n else F.lit(1)).cast("long")
+    at = scored.groupBy(F.col(score).alias("threshold")).agg(F.sum(pairs).alias("n"), F.sum(F.col(label).cast("long") * pairs).alias("pos"))
     bucket = F.floor(F.least(F.greatest(F.col("threshold"), F.lit(0.0)), F.lit(1.0)) * 1024)
     at = at.withColumn("_b", bucket)
     whole = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)

@@ -102,5 +102,5 @@ def train(labelled: DataFrame, iterations: int = 200) -> Model:
     """Fit on the training groups, tune the threshold on the others (0.5 if they hold nothing)."""
     fit_on, tune_on = group_split(labelled)
     pipeline = fit(fit_on, iterations=iterations)
-    best = evaluate.best_threshold(evaluate.pr_curve(score(pipeline, tune_on))).first()
+    best = evaluate.best_threshold(evaluate.pr_curve(score(pipeline, cells(tune_on)), n="n")).first()
     return Model(pipeline, float(best["threshold"]) if best else 0.5)

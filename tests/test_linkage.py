@@ -289,3 +289,10 @@ def test_alike_pairs_are_boosted_as_one_weighted_row(spark, monkeypatch):
     plain = model._boost(one_by_one, names, 4, 42)
     a, b = ({tuple(r)[:-1]: r["score"] for r in model.score(p, df).collect()} for p in (made, plain))
     assert a.keys() == b.keys() and len(a) == 40 and max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+def test_curve_of_rows_that_stand_for_many_pairs(spark):
+    rows = [(i / 7, i % 2, 1 + i) for i in range(8)]
+    few = spark.createDataFrame(rows, "score double, is_match int, n long")
+    many = spark.createDataFrame([r[:2] for r in rows for _ in range(r[2])], "score double, is_match int")
+    assert sorted(evaluate.pr_curve(few, n="n").collect()) == sorted(evaluate.pr_curve(many).collect())

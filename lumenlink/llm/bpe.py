@@ -51,7 +51,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def _bucket(piece: Column) -> Column:
-    return F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int")
+    return F.crc32(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def _no_ids() -> Column:
@@ -99,30 +99,41 @@ class RankMap:
             piece = F.substring(word, start + 1, stop - start)
             return F.coalesce(self.rank(ranks, piece).cast("long") * _PLACE, F.lit(_NONE))
 
-        # borders of the pieces, and of each two adjacent pieces their joint rank with their place, so that the least is the one to merge
-        borders = F.sequence(F.lit(0), n)
-        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank_of(i, i + 2) + i)
+        def start_of(entry: Column) -> Column:
+            return entry.bitwiseAND(F.lit(_PLACE - 1)).cast("int")
+
+        # of each piece its start, with the rank it has together with the next one, so that the least is the pair to merge
+        borders = F.sequence(F.lit(0), n - 1)
+        first = F.transform(borders, lambda i: F.when(i < n - 1, rank_of(i, i + 2)).otherwise(_NONE) + i)
 
         def merge(state: Column, _: Column) -> Column:
-            """Merge the adjacent pair of least rank (the first of equal ones); of the pairs' ranks only those beside it change."""
-            old = state["pairs"]
+            """Merge the adjacent pair of least rank (the first of equal ones); of the other entries only those beside it change."""
+
+            def merged(least: Column, at: Column) -> Column:
+                def stop(k: int) -> Column:
+                    return F.coalesce(start_of(F.get(state, at + k)), n)
 
-            def merged(at: Column) -> Column:
-                def ranked(left: Column) -> Column:
-                    def pair(start: Column, i: Column) -> Column:
-                        return F.when(i < at - 1, F.get(old, i)).when(i > at, F.get(old, i + 1) - 1).otherwise(rank_of(start, F.get(left, i + 2)) + i)
+                def changed(b: Column) -> Column:
+                    whole = F.when(b["stop"] < n, rank_of(b["start"], stop(2))).otherwise(_NONE) + b["start"]
+                    before = rank_of(start_of(b["left"]), b["stop"]) + start_of(b["left"])
+                    return F.transform(b["others"], lambda x: F.when(x == least, whole).when(x == b["left"], before).otherwise(x))
 
-                    return F.struct(left.alias("borders"), F.transform(F.slice(left, F.lit(1), F.size(left) - 2), pair).alias("pairs"))
+                left, others = F.get(state, at - 2), F.array_remove(state, F.get(state, at))
+                return _once(F.struct(left.alias("left"), start_of(least).alias("start"), stop(1).alias("stop"), others.alias("others")), changed)
 
-                return _once(F.filter(state["borders"], lambda _, i: i != at + 1), ranked)
+            def step(least: Column) -> Column:
+                at = F.array_position(state, least).cast("int")
+                return F.when(least >= _NONE, state).otherwise(_once(at, lambda at: merged(least, at)))
 
-            return _once(F.coalesce(F.array_min(old), F.lit(_NONE)), lambda least: F.when(least >= _NONE, state).otherwise(_once((least % _PLACE).cast("int"), merged)))
+            return _once(F.array_min(state), step)
 
         def ids(state: Column) -> Column:
-            left = state["borders"]
-            return F.transform(F.slice(left, F.lit(1), F.size(left) - 1), lambda start, i: self.rank(ranks, F.substring(word, start + 1, F.get(left, i + 1) - start)))
+            def piece(entry: Column, i: Column) -> Column:
+                return F.substring(word, start_of(entry) + 1, F.coalesce(start_of(F.get(state, i + 1)), n) - start_of(entry))
+
+            return F.transform(state, lambda entry, i: self.rank(ranks, piece(entry, i)))
 
-        fold = F.aggregate(F.sequence(F.lit(1), n - 1), F.struct(borders.alias("borders"), pairs.alias("pairs")), merge, ids)
+        fold = F.aggregate(F.sequence(F.lit(1), n - 1), first, merge, ids)
         return _once(self.rank(ranks, word), lambda whole: F.when(n == 0, _no_ids()).when(whole.isNotNull(), F.array(whole)).otherwise(fold))
 
     def decode_ids(self, ids: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import struct
 from collections import Counter
 
@@ -60,6 +61,16 @@ def test_fold_and_decoding_in_spark(spark, ranks, library):
         assert bytes(r.back) == w
 
 
+def test_fold_holds_one_array_and_cuts_none_out(spark, ranks, library):
+    """A step makes its array anew once: no struct of arrays as the state, no slices. Few letters, so that ranks tie."""
+    rng = random.Random(9)
+    words = [bytes(rng.choice(b"aehnt ") for _ in range(rng.randint(2, 14))) for _ in range(400)] + [b"aaaaaaa", b"ananananan", b"hahahahaha"]
+    out = bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word binary"), ranks)
+    assert all(list(r.ids) == library._encode_single_piece(bytes(r.word)) for r in out.collect())
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "aggregate(" in plan and "slice(" not in plan
+
+
 def test_heap_merges_long_words(ranks, library):
     for w in (b"a" * 5000, b"abcabd" * 700, "éà".encode() * 600, b"the" * 1000):
         assert bpe.merge_word(w, ranks) == library._encode_single_piece(w)
